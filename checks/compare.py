@@ -58,7 +58,8 @@ def main(directory: str = "/root/testdata/sf0.01", *wanted: str) -> int:
     from rosterloom.registry import all_queries
     from rosterloom.session import build_session
     spark = build_session("compare", "local[8]", spark__ui__enabled="false",
-                          spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+                          spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql, failed = connect(directory), statements(), 0
     for name, query in all_queries().items():

@@ -186,7 +186,7 @@ SELECT CASE WHEN l_partkey % 401 <> 0 THEN l_orderkey * 10 + l_linenumber END AS
   l_partkey % 577 <> 0 AND l_partkey % 503 <> 0 AND l_quantity > 40 AND l_linenumber IN (2, 3, 5) AS is_absent,
   l_linestatus = 'F' AND q > 0 AS has_overtime,
   'N' AS hr_flag, l_suppkey AS entered_by, l_shipdate AS entered_date, 'thr_attendance' AS source_table
-FROM raw_att WHERE l_orderkey % 211 <> 0"""
+FROM raw_att"""
 
 CTES["s_dept"] = """
 SELECT CAST(n_nationkey AS BIGINT) AS department_int_id, CAST(n_regionkey AS BIGINT) AS corp_id,
@@ -229,7 +229,7 @@ CTES["s_pay"] = f"""
 SELECT CASE WHEN o_orderkey % 307 <> 0 THEN o_orderkey END AS payroll_work_id,
   year(o_orderdate) * 100 + month(o_orderdate) AS payroll_date_id, o_custkey AS employee_int_id,
   CAST(o_orderdate AS DATE) - 3 AS timecard_date,
-  CASE WHEN o_orderkey % 233 <> 0 THEN CAST(o_orderdate AS DATE) END AS pay_date,
+  CAST(o_orderdate AS DATE) AS pay_date,
   CAST(o_orderdate AS DATE) AS check_date,
   {money('c')} AS gross_pay, {money('c * 3')} AS gross_pay_ytd, {money('net')} AS net_pay,
   CASE WHEN o_orderkey % 43 = 0 THEN 0 ELSE {money('c // 20')} END AS deductions,

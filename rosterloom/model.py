@@ -181,9 +181,18 @@ class WorkforceModel:
         return healthcare.clinical_staff(self.stg_workforce, self.stg_daily_attendance,
                                          self.as_of, **rules)
 
-    def shift_records(self, *, since: dt.date | None = None, until: dt.date | None = None,
-                      **rules) -> DataFrame:
-        return healthcare.shift_records(
+    def shift_punches(self) -> DataFrame:
+        return healthcare.shift_punches(self.stg_daily_attendance)
+
+    def shift_coverage(self, *, since: dt.date | None = None, until: dt.date | None = None,
+                       **rules) -> DataFrame:
+        return healthcare.shift_coverage(
+            _between(self.stg_daily_attendance, "attendance_date", since, until),
+            self.stg_workforce, **rules)
+
+    def staffing_ratios(self, *, since: dt.date | None = None, until: dt.date | None = None,
+                        **rules) -> DataFrame:
+        return healthcare.staffing_ratios(
             _between(self.stg_daily_attendance, "attendance_date", since, until),
             self.stg_workforce, **rules)
 

@@ -119,22 +119,40 @@ def clinical_staff(workforce: DataFrame, daily: DataFrame, as_of: dt.date, *,
                     risk.alias("burnout_risk_level")))
 
 
-def shift_records(daily: DataFrame, workforce: DataFrame, *, roles: Rules = ROLE_RULES,
-                  units: Rules = UNIT_RULES) -> DataFrame:
+def shift_punches(daily: DataFrame) -> DataFrame:
     """Punches with shift type, day type, extended and differential flags."""
     start = F.coalesce("actual_in_time", "scheduled_in_time")
     shift, kind = shift_type(start), day_type(F.col("attendance_date"))
-    extended = F.col("total_duration") > EXTENDED_SHIFT_MINUTES
-    return (daily.join(_classified_staff(workforce, roles, units), "employee_int_id", "left")
-            .select("attendance_date", "employee_int_id", "employee_id", "department",
-                    F.coalesce("clinical_role", F.lit(OTHER_ROLE)).alias("clinical_role"),
-                    F.coalesce("care_unit_type", F.lit(OTHER_UNIT)).alias("care_unit_type"),
-                    shift.alias("shift_type"), kind.alias("day_type"),
-                    F.col("total_duration").cast("long").alias("worked_minutes"),
-                    F.col("ot_duration").cast("long").alias("overtime_minutes"),
-                    extended.alias("is_extended_shift"),
-                    (shift.isin(EVENING, NIGHT) | (kind == "Weekend"))
-                    .alias("has_differential")))
+    return daily.select(
+        "attendance_date", "employee_int_id", shift.alias("shift_type"), kind.alias("day_type"),
+        F.col("total_duration").cast("long").alias("worked_minutes"),
+        F.col("ot_duration").cast("long").alias("overtime_minutes"),
+        (F.col("total_duration") > EXTENDED_SHIFT_MINUTES).alias("is_extended_shift"),
+        (shift.isin(EVENING, NIGHT) | (kind == "Weekend")).alias("has_differential"))
+
+
+_SHIFT_SUMS = ("shift_count", "worked", "overtime", "extended_shifts_count",
+               "shifts_with_differential")
+
+
+def _located(punches: DataFrame, workforce: DataFrame, keys: Sequence[str], roles: Rules,
+             units: Rules) -> DataFrame:
+    """Punch totals per ``keys`` and employee, with the employee's place and role.
+
+    The punches are summed per employee before they meet the master.  The join
+    is then one to one, an employee with very many punches is a single row per
+    key in it, and heads can be counted as rows.
+    """
+    per_person = punches.groupBy("employee_int_id", *keys).agg(
+        row_count().alias("shift_count"), F.sum("worked_minutes").alias("worked"),
+        F.sum("overtime_minutes").alias("overtime"),
+        F.count_if("is_extended_shift").alias("extended_shifts_count"),
+        F.count_if("has_differential").alias("shifts_with_differential"))
+    people = _classified_staff(workforce, roles, units)
+    return per_person.join(people, "employee_int_id", "left").select(
+        "employee_int_id", "employee_id", *keys, "department",
+        F.coalesce("clinical_role", F.lit(OTHER_ROLE)).alias("clinical_role"),
+        F.coalesce("care_unit_type", F.lit(OTHER_UNIT)).alias("care_unit_type"), *_SHIFT_SUMS)
 
 
 def week_start(day: str) -> Column:
@@ -145,17 +163,16 @@ def _in_hours(minutes: Column) -> Column:
     return minutes.cast("double") / F.lit(60.0)
 
 
-def shift_coverage(shifts: DataFrame) -> DataFrame:
+def shift_coverage(daily: DataFrame, workforce: DataFrame, *, roles: Rules = ROLE_RULES,
+                   units: Rules = UNIT_RULES) -> DataFrame:
     """Coverage per week, month, department, shift and day type."""
-    grouped = shifts.groupBy(
-        week_start("attendance_date").alias("week_start_date"),
-        month_text("attendance_date").alias("year_month"), "department", "shift_type",
-        "day_type").agg(
-        distinct_count("employee_int_id").alias("staff_count"),
-        row_count().alias("shift_count"),
-        F.sum("worked_minutes").alias("worked"), F.sum("overtime_minutes").alias("overtime"),
-        F.count_if("is_extended_shift").alias("extended_shifts_count"),
-        F.count_if("has_differential").alias("shifts_with_differential"))
+    keys = ["week_start_date", "year_month", "shift_type", "day_type"]
+    punches = (shift_punches(daily)
+               .withColumn("week_start_date", week_start("attendance_date"))
+               .withColumn("year_month", month_text("attendance_date")))
+    grouped = (_located(punches, workforce, keys, roles, units).groupBy(*keys, "department")
+               .agg(F.count("employee_int_id").alias("staff_count"),
+                    *(F.sum(name).alias(name) for name in _SHIFT_SUMS)))
     worked, overtime, count = F.col("worked"), F.col("overtime"), F.col("shift_count")
     return grouped.select(
         "week_start_date", "year_month", "department", "shift_type", "day_type", "staff_count",
@@ -191,19 +208,24 @@ def clinical_workforce(staff: DataFrame) -> DataFrame:
         mean("overtime_percentage").alias("avg_overtime_pct"))
 
 
-def staffing_ratios(shifts: DataFrame, *, minimum_staff: int = MINIMUM_STAFF,
-                    minimum_rns: int = MINIMUM_RNS) -> DataFrame:
+def staffing_ratios(daily: DataFrame, workforce: DataFrame, *,
+                    minimum_staff: int = MINIMUM_STAFF, minimum_rns: int = MINIMUM_RNS,
+                    roles: Rules = ROLE_RULES, units: Rules = UNIT_RULES) -> DataFrame:
     """Weekly staffing levels per department and shift, from daily head counts."""
-    person = "employee_int_id"
-    daily = shifts.groupBy("attendance_date", "department", "care_unit_type", "shift_type").agg(
-        distinct_count(person).alias("staff"),
-        distinct_count(person, f"clinical_role = '{RN}'").alias("rns"),
-        distinct_count(person, f"clinical_role = '{LPN}'").alias("lpns"),
-        distinct_count(person, f"clinical_role = '{CNA}'").alias("cnas"))
+    keys = ["attendance_date", "shift_type"]
+    people = _located(shift_punches(daily), workforce, keys, roles, units)
+    known = F.col("employee_int_id").isNotNull()
+
+    def heads(role: str) -> Column:
+        return F.count_if(known & (F.col("clinical_role") == role))
+
+    daily_heads = people.groupBy(*keys, "department", "care_unit_type").agg(
+        F.count_if(known).alias("staff"), heads(RN).alias("rns"), heads(LPN).alias("lpns"),
+        heads(CNA).alias("cnas"))
     week = week_start("attendance_date")
     days = row_count()
-    return (daily.groupBy(week.alias("week_start_date"), "department", "care_unit_type",
-                          "shift_type")
+    return (daily_heads.groupBy(week.alias("week_start_date"), "department", "care_unit_type",
+                                "shift_type")
             .agg(days.alias("days"),
                  round_to(exact_mean("staff"), 2).alias("avg_total_staff_count"),
                  F.min("staff").alias("min_total_staff_count"),
@@ -352,19 +374,26 @@ def active_staff_by_role(staff: DataFrame) -> DataFrame:
         row_count().alias("staff_count"))
 
 
-def night_shift_staffing(shifts: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
+def night_shift_staffing(daily: DataFrame, workforce: DataFrame, as_of: dt.date,
+                         days: int = 7, *, roles: Rules = ROLE_RULES,
+                         units: Rules = UNIT_RULES) -> DataFrame:
     since = F.lit(as_of - dt.timedelta(days=days))
-    return (shifts.where((F.col("shift_type") == NIGHT) & (F.col("attendance_date") >= since))
+    nights = shift_punches(daily.where(F.col("attendance_date") >= since)).where(
+        F.col("shift_type") == NIGHT)
+    return (_located(nights, workforce, ["attendance_date"], roles, units)
             .groupBy("attendance_date", "department")
-            .agg(row_count().alias("staff_count"),
-                 round_to(_in_hours(F.sum("worked_minutes")), 2).alias("total_hours"),
-                 round_to(_in_hours(F.sum("overtime_minutes")), 2).alias("total_overtime"))
+            .agg(F.sum("shift_count").alias("staff_count"),
+                 round_to(_in_hours(F.sum("worked")), 2).alias("total_hours"),
+                 round_to(_in_hours(F.sum("overtime")), 2).alias("total_overtime"))
             .orderBy(*descending("attendance_date"), *ascending("department")))
 
 
-def weekend_coverage(shifts: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
+def weekend_coverage(daily: DataFrame, workforce: DataFrame, as_of: dt.date, days: int = 30, *,
+                     roles: Rules = ROLE_RULES, units: Rules = UNIT_RULES) -> DataFrame:
     since = F.lit(as_of - dt.timedelta(days=days))
-    return (shifts.where((F.col("day_type") == "Weekend") & (F.col("attendance_date") >= since))
+    weekends = shift_punches(daily.where(F.col("attendance_date") >= since)).where(
+        F.col("day_type") == "Weekend")
+    return (_located(weekends, workforce, [], roles, units)
             .groupBy("department").agg(distinct_count("employee_id").alias("unique_staff")))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegralType, TimestampType
 
 from rosterloom.functions import row_count
 from rosterloom.model import WorkforceModel, in_latest_month
-from rosterloom.plans import alerts, healthcare as hc, kpis, reports
+from rosterloom.plans import alerts, business, healthcare as hc, kpis, reports
 from rosterloom.sources import ingest, materialize, quality
 from rosterloom.sources.scratch import new_database
 from rosterloom.sources.starschema import ACTIVITY_AS_OF, AS_OF, StarSchemaTables
@@ -179,7 +179,6 @@ INGEST: dict[str, Query] = {
 
 # Views.  Terminal outputs are sorted where the view is.
 
-_M = WorkforceModel
 VIEW_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "b1_stg_activity_log": lambda m: m.stg_activity_log,
     "b2_stg_attendance": lambda m: m.stg_attendance,
@@ -225,7 +224,6 @@ VIEW_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
 
 
 def _latest_payroll_rows(m: WorkforceModel) -> DataFrame:
-    from rosterloom.plans import business
     return business.payroll_analytics(in_latest_month(m.stg_payroll_main), m.stg_workforce)
 
 
@@ -310,24 +308,24 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
 def _recent_coverage(m: WorkforceModel) -> DataFrame:
     """Coverage of the weeks starting in the last four, from those weeks' punches only."""
     since = _monday_on_or_after(m.as_of - dt.timedelta(weeks=4))
-    return hc.shift_coverage(m.shift_records(since=since))
+    return m.shift_coverage(since=since)
 
 
 def _month_coverage(m: WorkforceModel) -> DataFrame:
     since, until = reports.month_bounds(YEAR_MONTH)
-    return hc.shift_coverage(m.shift_records(since=since, until=until))
+    return m.shift_coverage(since=since, until=until)
 
 
 def _recent_ratios(m: WorkforceModel) -> DataFrame:
     since = _monday_on_or_after(m.as_of - dt.timedelta(weeks=4))
-    return hc.staffing_ratios(m.shift_records(since=since))
+    return m.staffing_ratios(since=since)
 
 
 def _month_ratios(m: WorkforceModel) -> DataFrame:
     """Weeks starting in July: from the first Monday to six days past the month's end."""
     since, until = reports.month_bounds(YEAR_MONTH)
-    return hc.staffing_ratios(m.shift_records(since=_monday_on_or_after(since),
-                                              until=until + dt.timedelta(days=6)))
+    return m.staffing_ratios(since=_monday_on_or_after(since),
+                             until=until + dt.timedelta(days=6))
 
 
 HEALTHCARE_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
@@ -336,26 +334,24 @@ HEALTHCARE_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "h2_care_units": lambda m: m.clinical_staff().groupBy("care_unit_type").agg(
         row_count().alias("staff_count")),
     "h3_clinical_staff": lambda m: m.clinical_staff(),
-    "h4_shift_types": lambda m: m.shift_records().groupBy("shift_type").agg(
+    "h4_shift_types": lambda m: m.shift_punches().groupBy("shift_type").agg(
         row_count().alias("shifts")),
-    "h5_day_types": lambda m: m.shift_records().groupBy("day_type").agg(
+    "h5_day_types": lambda m: m.shift_punches().groupBy("day_type").agg(
         row_count().alias("shifts")),
-    "h6_shift_flags": lambda m: m.shift_records().groupBy(
+    "h6_shift_flags": lambda m: m.shift_punches().groupBy(
         "shift_type", "day_type", "is_extended_shift", "has_differential").agg(
         row_count().alias("shifts")),
-    "h7_shift_coverage": lambda m: hc.shift_coverage(m.shift_records()),
-    "h7_monthly_coverage": lambda m: hc.monthly_coverage(hc.shift_coverage(m.shift_records())),
-    "h7_high_overtime_weeks": lambda m: hc.high_overtime_weeks(
-        hc.shift_coverage(m.shift_records())),
+    "h7_shift_coverage": lambda m: m.shift_coverage(),
+    "h7_monthly_coverage": lambda m: hc.monthly_coverage(m.shift_coverage()),
+    "h7_high_overtime_weeks": lambda m: hc.high_overtime_weeks(m.shift_coverage()),
     "h8_clinical_workforce": lambda m: hc.clinical_workforce(m.clinical_staff()),
     "h8_burnout_by_department": lambda m: hc.burnout_by_department(
         hc.clinical_workforce(m.clinical_staff())),
     "h8_new_hire_share": lambda m: hc.new_hire_share(hc.clinical_workforce(m.clinical_staff())),
-    "h9_staffing_ratios": lambda m: hc.staffing_ratios(m.shift_records()),
+    "h9_staffing_ratios": lambda m: m.staffing_ratios(),
     "h9_icu_compliance": lambda m: hc.icu_compliance(_recent_ratios(m), m.as_of),
     "h9_understaffed_shifts": lambda m: hc.understaffed_shifts(
-        hc.staffing_ratios(m.shift_records(
-            since=_monday_on_or_after(m.as_of.replace(month=1, day=1)))), m.as_of),
+        m.staffing_ratios(since=_monday_on_or_after(m.as_of.replace(month=1, day=1))), m.as_of),
     "h10_staff_distribution": lambda m: hc.staff_distribution(m.clinical_staff()),
     "h11_burnout_groups": lambda m: hc.burnout_groups(m.clinical_staff(), minimum_hours=20.0),
     "h12_coverage_by_week": lambda m: hc.coverage_by_week(_recent_coverage(m), m.as_of),
@@ -368,13 +364,14 @@ HEALTHCARE_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "h17_icu_nurses_at_risk": lambda m: hc.icu_nurses_at_risk(m.clinical_staff()),
     "h17_active_staff_by_role": lambda m: hc.active_staff_by_role(m.clinical_staff()),
     "h18_night_shift_staffing": lambda m: hc.night_shift_staffing(
-        m.shift_records(), m.as_of, days=30),
-    "h18_weekend_coverage": lambda m: hc.weekend_coverage(m.shift_records(), m.as_of),
-    "h19_rn_shortfalls": lambda m: hc.rn_shortfalls(hc.staffing_ratios(m.shift_records())),
+        m.stg_daily_attendance, m.stg_workforce, m.as_of, days=30),
+    "h18_weekend_coverage": lambda m: hc.weekend_coverage(
+        m.stg_daily_attendance, m.stg_workforce, m.as_of),
+    "h19_rn_shortfalls": lambda m: hc.rn_shortfalls(m.staffing_ratios()),
     "h20_differential_hours": lambda m: hc.differential_hours(_month_coverage(m), YEAR_MONTH),
     "h21_retention_risks": lambda m: hc.retention_risks(m.clinical_staff()),
     "h22_variable_shifts": lambda m: hc.variable_shifts(
-        hc.staffing_ratios(m.shift_records()), minimum_stddev=1.0),
+        m.staffing_ratios(), minimum_stddev=1.0),
 }
 
 

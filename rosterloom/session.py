@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs three driver round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
