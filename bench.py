@@ -29,7 +29,7 @@ HEADLINE = (
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session("bench", f"local[{cpus}]", spark__ui__enabled="false",
                           spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
                           spark__ui__showConsoleProgress="false")

@@ -429,5 +429,33 @@ _QUERIES.update({
 })
 
 
+# Columns that hold nulls next to whole numbers or flags, and the type they are compared in.
+_HOLD_NULLS: dict[str, dict[str, str]] = {
+    "a1_import_table": {"Activity_Id": "DOUBLE"},
+    "a2_recent_window": {"Activity_Id": "DOUBLE"},
+    "b2_stg_attendance": {"shift_diff_flag": "VARCHAR"},
+    "b3_stg_daily_attendance": {"attendance_id": "DOUBLE", "attendance_status_id": "DOUBLE",
+                                "employee_int_id": "DOUBLE"},
+    "b6_stg_payroll": {"age": "DOUBLE", "arrears_assigned": "VARCHAR"},
+    "b7_stg_payroll_main": {"payroll_work_id": "DOUBLE"},
+    "c1_attendance_detail": {"shift_diff_flag": "VARCHAR"},
+    "c2_daily_attendance_detail": {"attendance_id": "DOUBLE", "employee_int_id": "DOUBLE"},
+    "c4_payroll_analytics": {"payroll_work_id": "DOUBLE"},
+    "c5_payroll_detail": {"age": "DOUBLE", "arrears_assigned": "VARCHAR"},
+    "c8_workforce_demographics": {"age": "DOUBLE", "tenure_years": "DOUBLE"},
+    "e12_employee_details": {"tenure_years": "DOUBLE"},
+    "e12_employee_details_filtered": {"tenure_years": "DOUBLE"},
+    "h3_clinical_staff": {"tenure_years": "DOUBLE"},
+}
+
+
+def _with_nulls_cast(name: str, query: str) -> str:
+    casts = _HOLD_NULLS.get(name)
+    if not casts:
+        return query
+    replaced = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in casts.items())
+    return f"SELECT * REPLACE ({replaced}) FROM ({query})"
+
+
 def statements() -> dict[str, str]:
-    return {name: with_tables(query) for name, query in _QUERIES.items()}
+    return {name: with_tables(_with_nulls_cast(name, query)) for name, query in _QUERIES.items()}

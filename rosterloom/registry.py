@@ -7,10 +7,10 @@ reads whole tables; the parameters are those of the operators themselves.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DecimalType, IntegralType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, DecimalType, IntegralType, TimestampType
 
 from rosterloom.functions import row_count
 from rosterloom.model import WorkforceModel, in_latest_month
@@ -32,7 +32,27 @@ IMPORT_DAYS = 7
 _STAMPS = ("_loaded_at", "last_updated", "detected_at", "calculated_at", "check_time")
 
 
-def comparable(frame: DataFrame) -> DataFrame:
+# Columns that do hold nulls, by query: clients disagree on how a whole number or
+# a boolean next to a null looks, so numbers go out as DOUBLE and flags as text.
+HOLDS_NULLS: dict[str, tuple[str, ...]] = {
+    "a1_import_table": ("Activity_Id",),
+    "a2_recent_window": ("Activity_Id",),
+    "b2_stg_attendance": ("shift_diff_flag",),
+    "b3_stg_daily_attendance": ("attendance_id", "attendance_status_id", "employee_int_id"),
+    "b6_stg_payroll": ("age", "arrears_assigned"),
+    "b7_stg_payroll_main": ("payroll_work_id",),
+    "c1_attendance_detail": ("shift_diff_flag",),
+    "c2_daily_attendance_detail": ("attendance_id", "employee_int_id"),
+    "c4_payroll_analytics": ("payroll_work_id",),
+    "c5_payroll_detail": ("age", "arrears_assigned"),
+    "c8_workforce_demographics": ("age", "tenure_years"),
+    "e12_employee_details": ("tenure_years",),
+    "e12_employee_details_filtered": ("tenure_years",),
+    "h3_clinical_staff": ("tenure_years",),
+}
+
+
+def comparable(frame: DataFrame, holds_nulls: Collection[str] = ()) -> DataFrame:
     """The frame in types any engine's client renders alike, without load times.
 
     Whole numbers as BIGINT, decimals as DOUBLE, dates as ISO text, timestamps
@@ -40,7 +60,10 @@ def comparable(frame: DataFrame) -> DataFrame:
     """
     def plain(field):
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
+        if field.name in holds_nulls:
+            target = "string" if isinstance(field.dataType, BooleanType) else "double"
+            column = column.cast(target)
+        elif isinstance(field.dataType, DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, IntegralType):
             column = column.cast("long")
@@ -376,13 +399,15 @@ HEALTHCARE_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
 
 
 def all_queries() -> dict[str, Query]:
-    def over_model(build: Callable[[WorkforceModel], DataFrame]) -> Query:
-        return lambda spark, directory: comparable(build(model_of(spark, directory)))
+    def over_model(name: str, build: Callable[[WorkforceModel], DataFrame]) -> Query:
+        return lambda spark, directory: comparable(build(model_of(spark, directory)),
+                                                   HOLDS_NULLS.get(name, ()))
 
-    def over_files(build: Query) -> Query:
-        return lambda spark, directory: comparable(build(spark, directory))
+    def over_files(name: str, build: Query) -> Query:
+        return lambda spark, directory: comparable(build(spark, directory),
+                                                   HOLDS_NULLS.get(name, ()))
 
-    found = {name: over_files(build) for name, build in INGEST.items()}
+    found = {name: over_files(name, build) for name, build in INGEST.items()}
     for group in (VIEW_QUERIES, REPORT_QUERIES, HEALTHCARE_QUERIES):
-        found.update((name, over_model(build)) for name, build in group.items())
+        found.update((name, over_model(name, build)) for name, build in group.items())
     return found

@@ -46,6 +46,23 @@ def recent(frame: DataFrame, date_column: str, days_back: int, now: dt.datetime)
     return frame.where(F.col(date_column) >= F.lit(now - dt.timedelta(days=days_back)))
 
 
+@dataclass(frozen=True)
+class TableLayout:
+    """How a written table is arranged for its readers.
+
+    ``cluster_by`` range-partitions and sorts the rows, so that a date window
+    skips files by their statistics; name a further column after the date, so
+    that one day holding most rows is still split.  ``partition_by`` makes a
+    folder per value, for few-valued columns.
+    """
+
+    cluster_by: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+
+
+AS_IS = TableLayout()
+
+
 @dataclass(frozen=True)
 class ImportJob:
     """One table to import; ``read`` opens the source when the import runs."""
@@ -54,15 +71,19 @@ class ImportJob:
     read: Callable[[], DataFrame]
     date_column: str | None = None
     days_back: int | None = None
+    layout: TableLayout = AS_IS
 
 
-def replace_table(frame: DataFrame, target: str) -> int:
+def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) -> int:
     """Overwrites ``target`` and returns its row count.
 
     The rows are counted in the written table, from the files' footers, so the
     source is not read a second time.
     """
-    frame.write.mode("overwrite").saveAsTable(target)
+    if layout.cluster_by:
+        frame = (frame.repartitionByRange(*layout.cluster_by)
+                 .sortWithinPartitions(*layout.partition_by, *layout.cluster_by))
+    frame.write.mode("overwrite").saveAsTable(target, partitionBy=list(layout.partition_by) or None)
     return frame.sparkSession.table(target).count()
 
 
@@ -74,7 +95,7 @@ def import_table(spark: SparkSession, job: ImportJob, *, database: str, log_tabl
         frame = job.read()
         if job.date_column and job.days_back:
             frame = recent(frame, job.date_column, job.days_back, now)
-        rows = replace_table(frame, target)
+        rows = replace_table(frame, target, job.layout)
     except Exception as error:
         append_log(spark, log_table, IMPORT_LOG, [(target, now, 0, f"error: {error}")])
         raise

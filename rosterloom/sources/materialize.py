@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from rosterloom.model import WorkforceModel
-from rosterloom.sources.ingest import append_log, latest_per, replace_table
+from rosterloom.sources.ingest import (
+    AS_IS,
+    TableLayout,
+    append_log,
+    latest_per,
+    replace_table,
+)
 
 # The refresh record's columns.
 REFRESH_LOG = StructType([
@@ -18,7 +24,8 @@ DEFAULT_TIER = "business"
 
 
 def materialize(spark: SparkSession, model: WorkforceModel, view_name: str, *,
-                cache_database: str, log_table: str, now: dt.datetime) -> int:
+                cache_database: str, log_table: str, now: dt.datetime,
+                layout: TableLayout = AS_IS) -> int:
     """Writes ``view_name`` (tier ``business`` unless qualified) to a table.
 
     An unknown view raises :class:`KeyError`; a failed refresh is recorded and
@@ -28,7 +35,7 @@ def materialize(spark: SparkSession, model: WorkforceModel, view_name: str, *,
     frame = model.view(qualified)
     target = f"{cache_database}.{qualified.rpartition('.')[2]}"
     try:
-        rows = replace_table(frame, target)
+        rows = replace_table(frame, target, layout)
     except Exception as error:
         append_log(spark, log_table, REFRESH_LOG, [(view_name, now, 0, f"failed: {error}")])
         raise

@@ -16,7 +16,7 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # The reporting day of the star-schema files, and of the event file.
@@ -106,10 +106,14 @@ class StarSchemaTables:
             k, "c_nationkey", "c_acctbal",
             f"explode(IF({k} % 7 = 0, array(0, 1), array(0))) AS snapshot")
         people = people.selectExpr(
-            "*", f"(c_nationkey + IF({k} % 14 = 0 AND snapshot = 1, 1, 0)) % 25 AS n_nationkey",
+            "*", f"(c_nationkey + IF({k} % 14 = 0 AND snapshot = 1, 1, 0)) % 25 AS dept_key",
             f"""CASE {k} % 4 WHEN 0 THEN 0L WHEN 1 THEN ({k} div 4) % 40 + 1
                 WHEN 2 THEN ({k} div 4) % 25 + 100 ELSE ({k} div 4) % 100 + 200 END AS manager""")
-        people = people.join(self.read("nation"), "n_nationkey", "left")
+        # The 25 nations as one map value: a join would make Catalyst estimate this
+        # table at many times its size, and rule out broadcasting it when small.
+        names = self.read("nation").agg(F.map_from_entries(
+            F.collect_list(F.struct("n_nationkey", "n_name")))).scalar()
+        people = people.withColumn("n_name", F.try_element_at(names, F.col("dept_key")))
 
         def date_text(days: str) -> str:
             day = f"date_sub(DATE'{AS_OF}', CAST({days} AS INT))"
@@ -131,9 +135,9 @@ class StarSchemaTables:
             "DOB": date_text(f"({k} * 37 % 20500 + 6570)"),
             "HireDate": date_text(f"({hired})"), "StatusDate": date_text(changed),
             "Gender": _every(k, 2, "'M'", "'F'"),
-            "DepartmentNumber": f"concat('D', n_nationkey, {_every(k, 5, "'B'", "'A'")})",
+            "DepartmentNumber": f"concat('D', dept_key, {_every(k, 5, "'B'", "'A'")})",
             "DepartmentName": _unless(
-                k, 53, f"concat({_pick(UNITS, 'n_nationkey')}, ' ', n_name)"),
+                k, 53, f"concat({_pick(UNITS, 'dept_key')}, ' ', n_name)"),
             "Dept Manager": "concat('Head of ', n_name)",
             "ReportingManager": _unless(k, 61, manager_name),
             "Time Card Approver": "'Time Desk'", "JobCode": f"concat('J', {k} % 8)",

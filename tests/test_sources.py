@@ -47,6 +47,20 @@ def test_import_replaces_and_logs(spark, database):
         (3, "success"), (5, "success")]
 
 
+def test_layouts_keep_the_rows_and_cluster_the_files(spark, database):
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("day"),
+                                    (F.col("id") % 2).alias("side"))
+    layout = ingest.TableLayout(cluster_by=("day", "id"), partition_by=("side",))
+    target = f"{database}.clustered"
+    assert ingest.replace_table(rows, target, layout) == 1000
+    written = spark.table(target)
+    assert written.select("id", "day", "side").exceptAll(rows).count() == 0
+    assert "side=1" in written.where("side = 1").inputFiles()[0]
+    spans = (written.groupBy(F.input_file_name()).agg(
+        F.min("day").alias("low"), F.max("day").alias("high"))).collect()
+    assert all(r.high - r.low < 6 for r in spans) or len(spans) <= 2
+
+
 def test_import_window_is_inclusive(spark, database):
     days = spark.createDataFrame([(NOW - dt.timedelta(days=d),) for d in (0, 30, 31)],
                                  "EnteredDate timestamp")
