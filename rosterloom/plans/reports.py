@@ -23,7 +23,14 @@ from rosterloom.functions import (
     round_to,
     row_count,
 )
-from rosterloom.operators import equals_where_given, keep, top_k, top_k_per_group
+from rosterloom.operators import (
+    equals_where_given,
+    keep,
+    top_k,
+    top_k_per_group,
+    workforce_dimension,
+)
+from rosterloom.operators.workforce import KEY, Grain
 from rosterloom.plans.alerts import priority_rank
 from rosterloom.plans.bands import TENURE_BANDS, band_position
 
@@ -143,6 +150,19 @@ def department_choices(view: DataFrame) -> DataFrame:
             .distinct().orderBy("department_name"))
 
 
+def departments_with_facts(facts: DataFrame, workforce: DataFrame,
+                           workforce_grain: Grain = "snapshot") -> DataFrame:
+    """Distinct department names a detail view over ``facts`` shows.
+
+    The same names as :func:`department_choices` of that view, without building
+    it: distinct employees on both sides, and a semi join.
+    """
+    homes = workforce_dimension(workforce.where(F.col(KEY).isNotNull()), ["department_name"],
+                                workforce_grain)
+    seen = facts.where(F.col(KEY).isNotNull()).select(KEY).distinct()
+    return department_choices(homes.join(seen, KEY, "left_semi"))
+
+
 def employee_details(demographics: DataFrame, *, department: str | None = None,
                      status: str | None = None, tenure_band: str | None = None) -> DataFrame:
     chosen = keep(demographics, equals_where_given(
@@ -242,8 +262,11 @@ def top_earners(latest_payroll: DataFrame, k: int = TOP_ROWS) -> DataFrame:
     return top_k(latest_payroll.select(*columns), order, k)
 
 
-def period_choices(payroll_analytics: DataFrame, k: int = PERIODS) -> DataFrame:
-    return top_k(payroll_analytics.select("pay_period").distinct(), descending("pay_period"), k)
+def period_choices(pay: DataFrame, k: int = PERIODS) -> DataFrame:
+    """The newest periods paid.  The master join adds none and drops none, so none is made."""
+    months = (pay.where(F.col("pay_date").isNotNull())
+              .select(F.trunc("pay_date", "MM").alias("month")).distinct())
+    return top_k(months, descending("month"), k).select(month_text("month").alias("pay_period"))
 
 
 def payroll_records(payroll_analytics: DataFrame, *, period: str | None = None,

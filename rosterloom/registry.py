@@ -282,8 +282,8 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "e14_daily_presence": lambda m: reports.daily_presence(m.attendance_daily_metrics(), *WINDOW),
     "e15_departments_by_attendance": lambda m: reports.departments_by_attendance(
         m.attendance_daily_metrics(), *WINDOW),
-    "e16_attendance_departments": lambda m: reports.department_choices(
-        m.daily_attendance_detail()),
+    "e16_attendance_departments": lambda m: reports.departments_with_facts(
+        m.stg_daily_attendance, m.stg_workforce),
     "e17_attendance_records": lambda m: reports.attendance_records(
         m.daily_attendance_detail(), *WINDOW),
     "e17_attendance_records_filtered": lambda m: reports.attendance_records(
@@ -298,8 +298,9 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "e21_top_earners": lambda m: reports.top_earners(_latest_payroll_rows(m)),
     "e22_deductions_and_taxes": lambda m: reports.deductions_and_taxes(
         m.payroll_period_metrics()),
-    "e23_period_choices": lambda m: reports.period_choices(m.payroll_analytics()),
-    "e24_payroll_departments": lambda m: reports.department_choices(m.payroll_analytics()),
+    "e23_period_choices": lambda m: reports.period_choices(m.stg_payroll_main),
+    "e24_payroll_departments": lambda m: reports.departments_with_facts(
+        m.stg_payroll_main.where(F.col("pay_date").isNotNull()), m.stg_workforce),
     "e25_payroll_records": lambda m: reports.payroll_records(m.payroll_analytics()),
     "e25_payroll_records_filtered": lambda m: reports.payroll_records(
         _payroll_of(m, YEAR_MONTH), period=YEAR_MONTH, department="ICU NATION_0"),

@@ -76,3 +76,31 @@ def test_optional_filters(spark):
     assert operators.keep(frame, operators.equals_where_given(x=1, y="b")).count() == 0
     quote = operators.equals_where_given(y="a' OR '1'='1")
     assert operators.keep(frame, quote).count() == 0
+
+
+def test_adaptive_execution_splits_a_hot_employees_facts(spark):
+    """No single task of the detail join gets all rows of the hot employee."""
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false",
+               "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key, None) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        facts = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("employee_int_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+        master = spark.range(60_000).select(F.col("id").alias("employee_int_id"),
+                                            (F.col("id") % 5).alias("department"))
+        joined = operators.expand_copies(operators.join_workforce(
+            facts, operators.workforce_dimension(master, ["department"])))
+        per_task = joined.groupBy(F.spark_partition_id()).agg(
+            F.count(F.lit(1)).alias("n"), F.max("payload"), F.max("department"))
+        sizes = [r["n"] for r in per_task.collect()]
+        assert sum(sizes) == 60_000 and max(sizes) < 10_000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -114,3 +114,21 @@ def test_earnings_keep_every_master_row(make):
     pay = make.pay([(1, 1, AS_OF, {"gross_pay": 5}), (2, 1, AS_OF, {"gross_pay": 6})])
     rows = dicts(reports.earnings_per_employee(staff, pay), "employee_int_id")
     assert [r["total_earnings"] for r in rows] == [11, 11, None]
+
+
+def test_departments_with_facts_are_those_of_the_detail_view(make):
+    staff = make.workforce([(1, {"DepartmentName": "ICU", "tcpaydt_int_id": 1}),
+                            (1, {"DepartmentName": "ER", "tcpaydt_int_id": 2}),
+                            (2, {"DepartmentName": "OR"}), (3, {"DepartmentName": None})])
+    daily = make.daily([(1, 1, AS_OF, {}), (2, 3, AS_OF, {}), (3, None, AS_OF, {})])
+    for grain, expected in (("snapshot", ["ER", "ICU"]), ("latest", ["ER"])):
+        view = business.daily_attendance_detail(daily, staff, workforce_grain=grain)
+        ours = dicts(reports.departments_with_facts(daily, staff, grain))
+        assert ours == dicts(reports.department_choices(view))
+        assert [r["department_name"] for r in ours] == expected
+
+
+def test_period_choices_are_distinct_months(make):
+    pay = make.pay([(i, 1, day, {}) for i, day in enumerate(
+        [dt.date(2024, 1, 5), dt.date(2024, 1, 9), dt.date(2024, 3, 1), None])])
+    assert [r["pay_period"] for r in dicts(reports.period_choices(pay))] == ["2024-03", "2024-01"]

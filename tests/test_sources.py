@@ -13,8 +13,8 @@ NOW = dt.datetime(2024, 1, 31)
 
 
 @pytest.mark.parametrize("source, target", [
-    ("Activity_Log", "activity_log"), ("CRMC_Payroll File 03012021", "crmc_payroll_file_03012021"),
-    ("1099emps_050420", "t_1099emps_050420"), ("'Sheet1$'", "sheet1"), ("a-b'c$", "a_bc"),
+    ("Activity_Log", "activity_log"), ("Payroll File 03012021", "payroll_file_03012021"),
+    ("2024 people", "t_2024_people"), ("'Sheet1$'", "sheet1"), ("a-b'c$", "a_bc"),
     ("", "")])
 def test_target_names(source, target):
     assert ingest.target_name(source) == target
