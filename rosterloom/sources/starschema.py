@@ -16,7 +16,7 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # The reporting day of the star-schema files, and of the event file.
@@ -109,11 +109,8 @@ class StarSchemaTables:
             "*", f"(c_nationkey + IF({k} % 14 = 0 AND snapshot = 1, 1, 0)) % 25 AS dept_key",
             f"""CASE {k} % 4 WHEN 0 THEN 0L WHEN 1 THEN ({k} div 4) % 40 + 1
                 WHEN 2 THEN ({k} div 4) % 25 + 100 ELSE ({k} div 4) % 100 + 200 END AS manager""")
-        # The 25 nations as one map value: a join would make Catalyst estimate this
-        # table at many times its size, and rule out broadcasting it when small.
-        names = self.read("nation").agg(F.map_from_entries(
-            F.collect_list(F.struct("n_nationkey", "n_name")))).scalar()
-        people = people.withColumn("n_name", F.try_element_at(names, F.col("dept_key")))
+        nations = self.read("nation").selectExpr("n_nationkey AS dept_key", "n_name")
+        people = people.join(nations, "dept_key", "left")
 
         def date_text(days: str) -> str:
             day = f"date_sub(DATE'{AS_OF}', CAST({days} AS INT))"
