@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rosterloom.llm.common import kept
 
 CAPACITY, END_ID = 1024, 2
+_SHARES = (1.0, 0.75, 0.5, 0.25)
 Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 _PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -203,43 +204,47 @@ def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]
     return [(p, n) for group in by_gap.values() for p, n in group if p]
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 400,
+def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 150,
          rate: float = 4.0) -> list[tuple[Pattern, int]]:
     """Configurations with whole multiplicities that hold every piece exactly once.
 
     Full-length pieces take a sequence each. Rounding takes the integer part of each
-    configuration's use, then single further uses in order of the fractions cut
-    off, as long as pieces are left for them and they fill the sequence; the rest is packed
-    best-fit decreasing.
+    configuration's use, then one more use where at least half was cut off, as long as
+    pieces are left for it and it fills the sequence; the rest is packed best-fit decreasing.
+    Of several shares of the fractional solution that are rounded so, the one with the fewest
+    sequences is kept.
     """
-    left = {n: c for n, c in counts.items() if c and n < capacity}
-    out: list[tuple[Pattern, int]] = []
-    if counts.get(capacity):
-        out.append((((capacity, 1),), counts[capacity]))
-    if not left:
-        return out
-    lengths = np.array(sorted(left, reverse=True))
-    demand = np.array([left[n] for n in lengths], float)
-    used = _fractional(lengths, demand, capacity, rounds, rate)
-    as_pattern = {k: tuple((int(lengths[i]), a) for i, a in k) for k in used}
-
-    def take(key, times):
-        pattern = as_pattern[key]
+    small = {n: c for n, c in counts.items() if c and n < capacity}
+    whole = [(((capacity, 1),), counts[capacity])] if counts.get(capacity) else []
+    if not small:
+        return whole
+    lengths = np.array(sorted(small, reverse=True))
+    demand = np.array([small[n] for n in lengths], float)
+    used = {tuple((int(lengths[i]), a) for i, a in k): times
+            for k, times in _fractional(lengths, demand, capacity, rounds, rate).items()}
+    tried = (_rounded({k: share * v for k, v in used.items()}, small, capacity) for share in _SHARES)
+    return whole + min(tried, key=lambda bins: sum(times for _, times in bins))
+
+
+def _rounded(used: dict[Pattern, float], counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
+    left, out = dict(counts), []
+
+    def take(pattern, times):
         times = min([times, *(left[n] // a for n, a in pattern)])
         if times > 0:
             out.append((pattern, times))
             for n, a in pattern:
                 left[n] -= a * times
 
-    for key in sorted(used, key=used.get, reverse=True):
-        take(key, int(used[key]))
-    for key in sorted(used, key=lambda k: used[k] % 1, reverse=True):
-        if sum(n * a for n, a in as_pattern[key]) == capacity:
-            take(key, 1)
+    for pattern in sorted(used, key=used.get, reverse=True):
+        take(pattern, int(used[pattern]))
+    for pattern in sorted(used, key=lambda k: used[k] % 1, reverse=True):
+        if sum(n * a for n, a in pattern) == capacity and used[pattern] % 1 >= 0.5:
+            take(pattern, 1)
     return out + _best_fit({n: c for n, c in left.items() if c}, capacity)
 
 
-def place(parts: DataFrame, capacity: int = CAPACITY, rounds: int = 400) -> DataFrame:
+def place(parts: DataFrame, capacity: int = CAPACITY, rounds: int = 150) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``doc_id, piece, start, length``.
 
     ``parts`` is read twice, so it should be a written table. Only the histogram
