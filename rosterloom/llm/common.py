@@ -104,3 +104,20 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = edges.groupBy("a").agg(F.min("b").alias("root"))
     return (roots.select(F.col("a").alias("node"), "root")
             .unionByName(roots.select(F.col("root").alias("node"), "root").distinct()))
+
+
+def free_name(frame: DataFrame, base: str) -> str:
+    """A column name that ``frame`` does not have yet (names differ by more than case)."""
+    taken = {c.lower() for c in frame.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def row_key() -> Column:
+    """Tells the rows of documents apart by ``doc_id`` and ``text``; repeated rows are equal.
+
+    The text's hash only has to tell apart the texts of one id.
+    """
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                       F.hex(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))))

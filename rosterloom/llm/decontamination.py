@@ -17,23 +17,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterloom.llm.common import kept
+from rosterloom.llm.common import free_name, kept, row_key
 
 WINDOW, SLOP, SEGMENT_BYTES, BLOCK_BYTES = 10, 5, 6_000_000, 8_000_000
 
 _WORDS = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_INDEX = ("segment string, doc_ids array<long>, n_words array<int>, starts array<int>, "
+_INDEX = ("segment string, doc_ids array<string>, n_words array<int>, starts array<int>, "
           "terms array<string>, counts array<int>, positions binary")
 _INDEX_ARROW = pa.schema([
-    ("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int32())),
+    ("segment", pa.string()), ("doc_ids", pa.list_(pa.string())), ("n_words", pa.list_(pa.int32())),
     ("starts", pa.list_(pa.int32())), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
     ("positions", pa.binary())])
 _SPANS = "array<struct<first:int,last:int>>"
-_FOUND = (f"segment string, ordinal int, doc_id long, n_words long, spans {_SPANS}, "
+_FOUND = (f"segment string, ordinal int, doc_id string, n_words long, spans {_SPANS}, "
           "items array<string>, near_items array<string>")
 _FOUND_ARROW = pa.schema([
-    ("segment", pa.string()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
+    ("segment", pa.string()), ("ordinal", pa.int32()), ("doc_id", pa.string()), ("n_words", pa.int64()),
     ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
     ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 
@@ -116,7 +116,7 @@ def build_index(docs: DataFrame, terms: set[str], segment_bytes: int = SEGMENT_B
         if keys:
             yield segment(keys, ids, lengths)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, _INDEX)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, _INDEX)
 
 
 def term_counts(index: DataFrame) -> DataFrame:
@@ -230,5 +230,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slo
         lambda a, s: F.struct(
             (a["n"] + F.greatest(s["last"] - F.greatest(s["first"], a["end"]), F.lit(0))).alias("n"),
             F.greatest(a["end"], s["last"]).alias("end")), lambda a: a["n"].cast("long"))
-    return found.select("doc_id", "n_words", "spans", covered.alias("n_hit"),
+    return found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_words", "spans", covered.alias("n_hit"),
                         F.array_sort("items").alias("items"), F.array_sort("near_items").alias("near_items"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any benchmark window, with their columns."""
+    key = free_name(docs, "_key")
+    keyed = docs.withColumn(key, row_key())
+    found = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, size)
+    dirty = kept(found.where("n_hit > 0").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(dirty, key, "left_anti").drop(key)

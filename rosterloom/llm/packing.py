@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rosterloom.llm.common import kept
 
 CAPACITY, END_ID = 1024, 2
-_SHARES = (1.0, 0.75, 0.5, 0.25)
+_SHARES = (1.0, 0.75, 0.5, 0.25, 0.1, 0.02)
 Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 _PIECES = "doc_id long, piece int, start long, length long, ids binary"
