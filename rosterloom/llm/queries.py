@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterloom.llm import chat, decontamination, langid, licenses, linededup, packing, pii, quality, secrets, simhash
+from rosterloom.llm import chat, decontamination, langid, licenses, linededup, packing, pii, quality, secrets, simhash, sql
 from rosterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = quality.judged(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return found.select("doc_id", *(F.col(name)[c].alias(c) for c in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "common_distance")))
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")),
+        *(F.round(F.col(name)[c], 6).alias(c) for c in ("class_distance", "common_distance")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +83,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def llm_queries() -> dict[str, Query]:
@@ -92,4 +93,7 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    """Tokens, fingerprints, models, alignments and keyed surrogates are beyond SQL: their
+    queries are tested against brute force, round trips and held-out accuracy."""
+    return {"op3_secret_scan": sql.OP3, "op5_quality_rules": sql.OP5, "op9_chat_windows": sql.OP9,
+            "op10_decontamination": sql.OP10}
