@@ -4,26 +4,31 @@ from __future__ import annotations
 
 import re
 
-from checks.tables import ACTIVITY_AS_OF, AS_OF, CTES, avg2, pct0, pctn, per0, rnd
+from checks.tables import ACTIVITY_AS_OF, AS_OF, CTES, avg2, fname, lname, pct0, pctn, per0, rnd
 
 _NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
 
 
-def with_tables(query: str) -> str:
-    """Puts the CTEs the query needs, directly or not, in front of it."""
-    needed: list[str] = []
+# One master row per employee: the newest snapshot.
+LATEST = {"s_wf": f"""SELECT * FROM ({CTES['s_wf']}) WHERE employee_int_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY employee_int_id ORDER BY tcpaydt_int_id DESC) = 1"""}
+
+
+def with_tables(query: str, instead: dict[str, str] | None = None) -> str:
+    """Puts the CTEs the query needs, directly or not, in front of it; some replaced by ``instead``."""
+    tables, needed = CTES | (instead or {}), []
 
     def visit(text: str) -> None:
         for name in dict.fromkeys(_NAMES.findall(text)):
             if name not in needed:
-                visit(CTES[name])
+                visit(tables[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(query)
     if not needed:
         return query
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in needed) + "\n" + query
+    return "WITH " + ",\n".join(f"{n} AS ({tables[n]})" for n in needed) + "\n" + query
 
 
 def rows(source: str, *, doubles: str = "", bigs: str = "", texts: str = "",
@@ -73,24 +78,51 @@ def _count_by(column: str) -> str:
     return f"SELECT {column}, count(*) AS count {_ACTIVE} GROUP BY 1"
 
 
-def _imported(where: str) -> str:
-    return ("SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS \"Activity_Id\", "
-            "user_id AS \"Emp_Int_ID\", ts AS \"EnteredDate\", "
-            f"CASE WHEN event_id % 89 <> 0 THEN event_type END AS \"ModuleName\" FROM events {where}")
+def _imported(where: str = "") -> str:
+    return f"""SELECT CASE WHEN event_id % 97 <> 0 THEN event_id END AS "Activity_Id", user_id AS "Emp_Int_ID",
+  ts AS "EnteredDate", upper(event_type) AS "Activity_Type", props AS "Activity_Desc",
+  CASE WHEN event_id % 89 <> 0 THEN event_type END AS "ModuleName",
+  'table_' || (event_id % 7) AS "EffectedTableName", CAST(NULL AS VARCHAR) AS "EffectedColumnName",
+  'user' || user_id AS "EnterBy", CASE WHEN user_id % 3 = 0 THEN 'admin' ELSE 'clerk' END AS "User_Role",
+  ts AS "StartTime", ts + to_seconds(60 * (event_id % 60)) AS "EndTime",
+  '10.0.0.' || (user_id % 256) AS "SystemIP", CAST(NULL AS VARCHAR) AS "PublicIP",
+  CAST(user_id % 5 AS BIGINT) AS "Corp_ID" FROM events {where}"""
 
 
-_RECENT = f"WHERE ts >= {ACTIVITY_AS_OF} - INTERVAL 7 DAY"
+_RECENT = f"WHERE ts >= {ACTIVITY_AS_OF} - INTERVAL 30 DAY"
+_ARREARS = "(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) // 1000)"
 _BENEFITS = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"
 
+def _burnout_groups(hours: int) -> str:
+    return f"""SELECT clinical_role, department, count(*) AS staff_count,
+  {avg2('ytd_overtime_hours', 1)} AS avg_overtime_hours, {avg2('overtime_percentage', 1)} AS avg_overtime_pct,
+  count(*) FILTER (WHERE burnout_risk_level = 'High Risk') AS high_risk_count,
+  count(*) FILTER (WHERE burnout_risk_level = 'Moderate Risk') AS moderate_risk_count
+FROM h_staff WHERE employment_status = 'Active' GROUP BY 1, 2
+HAVING CAST(sum(CAST(ytd_overtime_hours AS DECIMAL(18,2))) AS DOUBLE) / count(ytd_overtime_hours) > {hours}
+ORDER BY avg_overtime_hours DESC, clinical_role, department NULLS LAST LIMIT 15"""
+
+
 _QUERIES: dict[str, str] = {
-    "a1_import_table": _imported(_RECENT),
+    "a1_import_table": _imported(),
+    "a1_import_window": _imported(_RECENT),
     "a2_recent_window": _imported(_RECENT),
     "a3_clean_columns": f"""SELECT CASE WHEN l_orderkey % 173 <> 0 THEN 'E' || o_custkey END AS "Employee_ID",
-  ' ' || ['Ada','Ben','Cora','Dan','Eve'][o_custkey % 5 + 1] AS "First_Name",
-  CASE WHEN l_partkey % 251 <> 0 THEN p_type END AS "Benefit_Plan_Type",
-  'Tier ' || l_linenumber AS "Coverage_Tier_Name_(No_Codes)",
-  (CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) // 1000) / 100.0 AS "Current_Arrears",
-  CAST(l_linenumber AS BIGINT) AS "No_of_PP" FROM {_BENEFITS}""",
+  CAST(o_custkey AS VARCHAR) AS "emp_Int_id", ' ' || {fname('o_custkey')} AS "First_Name", {lname('o_custkey')} AS "Last_Name",
+  CASE WHEN l_partkey % 251 <> 0 THEN p_type END AS "Benefit_Plan_Type", p_brand || ' ' AS "Benefit_Plan_Name",
+  'Class ' || l_returnflag AS "Benefit_Class_Name", 'Tier ' || l_linenumber AS "Coverage_Tier_Name_(No_Codes)",
+  CASE WHEN l_linenumber % 2 = 0 THEN 'Spouse' ELSE 'Self' END AS "Relationship_(No_Codes)",
+  strftime(l_shipdate, '%Y-%m-%d') AS "Cost_Tier_Effective_Date",
+  CAST(CAST(l_quantity AS INTEGER) * 1000 AS VARCHAR) AS "Coverage_Amount_1",
+  CAST(CAST(l_quantity AS INTEGER) * 500 AS VARCHAR) AS "Coverage_Amount_2",
+  ' ' || CAST(l_quantity AS INTEGER) AS "Per_Pay_Period_Amount_1", CAST(NULL AS VARCHAR) AS "Per_Pay_Period_Amount_2",
+  '$' || (CAST(l_quantity AS INTEGER) * 20) AS "Employer_Cost", '$' || CAST(l_quantity AS INTEGER) AS "Employer_Cost_Per_Pay_Period",
+  CAST({_ARREARS} / 100.0 AS DOUBLE) AS "Current_Arrears",
+  CASE WHEN l_partkey % 37 <> 0 THEN CAST({_ARREARS} * 2 / 100.0 AS DOUBLE) END AS "Total_Arrears",
+  CAST(l_linenumber AS BIGINT) AS "No_of_PP",
+  CASE WHEN l_linenumber < 7 THEN l_linenumber % 2 = 0 END AS "arrears_assigned_yn", ' T' || l_linestatus AS "Type",
+  'open ' AS "Reason", CASE WHEN l_partkey % 59 <> 0 THEN p_size + 18 END AS "Age",
+  CAST(o_custkey % 5 AS BIGINT) AS "Corp_Id" FROM {_BENEFITS}""",
     "a4_import_many": f"""SELECT 'activity_log' AS table_name, count(*) AS row_count, 'success' AS status FROM events {_RECENT}
 UNION ALL SELECT 't_1099_missing', 0, 'error'
 UNION ALL SELECT 'tppd_dept', count(*), 'success' FROM nation""",
@@ -110,6 +142,15 @@ UNION ALL SELECT 'tppd_dept', count(*), 'success' FROM nation""",
     (SELECT count(DISTINCT employee_int_id) FROM s_att WHERE employee_int_id NOT IN (SELECT employee_int_id FROM s_wf)), 'values without a parent'
   UNION ALL SELECT 'same_row_count', 'stg_daily_attendance',
     (SELECT count(*) FROM raw_att) - (SELECT count(*) FROM s_att), 'rows difference')""",
+    "a8_uncastable_values": f"""SELECT 'castable:' || c AS check_name, 'crmc_payrollfile' AS table_name, n = 0 AS passed,
+  n || ' bad values' AS details FROM (
+  SELECT unnest(['Current Arrears', 'Total Arrears', 'No of PP', 'arrears_assigned_yn', 'Age', 'Corp_Id']) AS c,
+    unnest([0, count(*) FILTER (l_linenumber = 6), 0, count(*) FILTER (l_linenumber = 5), count(*) FILTER (l_linenumber = 7), 0]) AS n
+  FROM {_BENEFITS})""",
+    "a9_materialized_window": rows("m_daily", texts="attendance_date", tail=f"WHERE m_daily.{_WINDOW}"),
+    "b6_stg_payroll_from_text": """SELECT * REPLACE (CASE WHEN num_pay_periods <> 7 THEN age END AS age,
+  CASE WHEN num_pay_periods <> 6 THEN CAST(total_arrears AS DOUBLE) END AS total_arrears, CAST(current_arrears AS DOUBLE) AS current_arrears,
+  CASE WHEN num_pay_periods <> 5 THEN arrears_assigned END AS arrears_assigned) FROM s_ben""",
     "a9_materialized_view": rows("b_emp", doubles="total_current_arrears total_arrears"),
     "a9_refresh_log": "SELECT 'metrics.headcount_metrics' AS view_name, count(*) AS row_count, 'success' AS refresh_status FROM m_head",
 
@@ -270,21 +311,31 @@ FROM s_log ORDER BY activity_timestamp DESC, activity_id LIMIT 100""",
   SELECT module FROM s_log ORDER BY activity_timestamp DESC, activity_id LIMIT 100)
 WHERE module IS NOT NULL GROUP BY 1""",
 
-    "g1_longest_tenured": f"""SELECT full_name, department_name, job_code_name, tenure_years,
-  CAST(estimated_annual_salary AS DOUBLE) AS estimated_annual_salary {_ACTIVE}
-ORDER BY tenure_years DESC NULLS LAST, full_name, department_name, job_code_name, b_demo.estimated_annual_salary LIMIT 10""",
+    "g1_longest_tenured": f"""SELECT full_name, department_name, job_code_name, tenure_years, estimated_annual_salary,
+  CAST(gross_pay_ytd AS DOUBLE) AS ytd_gross_pay FROM (
+  SELECT employee_int_id, full_name, department_name, job_code_name, tenure_years,
+    CAST(estimated_annual_salary AS DOUBLE) AS estimated_annual_salary {_ACTIVE}
+  ORDER BY tenure_years DESC NULLS LAST, full_name, department_name, job_code_name, b_demo.estimated_annual_salary, employee_int_id LIMIT 10)
+LEFT JOIN (SELECT employee_int_id, gross_pay_ytd FROM s_pay QUALIFY row_number() OVER (
+  PARTITION BY employee_int_id ORDER BY pay_date DESC NULLS LAST, payroll_work_id DESC NULLS LAST) = 1) USING (employee_int_id)""",
     "g2_department_payroll": f"""SELECT department_name, CAST(sum(active_employees) AS BIGINT) AS active_employees,
   {rnd('CAST(sum(CAST(avg_hourly_rate AS DECIMAL(18,6)) * 2080) AS DOUBLE) / count(avg_hourly_rate)', 0)} AS avg_salary,
   CAST(sum(total_annual_payroll_estimate) AS DOUBLE) AS total_payroll FROM m_wf GROUP BY 1""",
-    "g3_monthly_payroll": """SELECT pay_period, CAST(sum(employees_paid) AS BIGINT) AS employees,
-  CAST(sum(total_gross_pay) AS DOUBLE) AS gross_pay, CAST(sum(total_net_pay) AS DOUBLE) AS net_pay,
-  CAST(sum(total_hours) AS DOUBLE) AS hours FROM m_period GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
-    "g4_monthly_attendance": f"""SELECT strftime(attendance_date, '%Y-%m') AS year_month, department_name,
-  CAST(sum(total_records) AS BIGINT) AS total_records,
-  {pctn('sum(present_count)', 'sum(total_records)')} AS attendance_rate_pct,
-  {pctn('sum(absent_count)', 'sum(total_records)')} AS absence_rate_pct,
-  {pctn('sum(late_count)', 'sum(total_records)')} AS late_rate_pct
-FROM m_daily GROUP BY 1, 2 ORDER BY 1 DESC, 2 NULLS LAST LIMIT 10""",
+    "g3_monthly_payroll": f"""SELECT pay_period, employees, gross_pay, net_pay, hours, overtime_hours FROM (
+  SELECT pay_period, CAST(sum(employees_paid) AS BIGINT) AS employees, CAST(sum(total_gross_pay) AS DOUBLE) AS gross_pay,
+    CAST(sum(total_net_pay) AS DOUBLE) AS net_pay, CAST(sum(total_hours) AS DOUBLE) AS hours FROM m_period GROUP BY 1)
+LEFT JOIN (SELECT strftime(attendance_date, '%Y-%m') AS pay_period, {rnd('CAST(sum(ot_duration) AS BIGINT) / 60.0', 2)} AS overtime_hours
+  FROM s_att GROUP BY 1) USING (pay_period) ORDER BY 1 DESC LIMIT 12""",
+    "g4_monthly_attendance": f"""SELECT r.*, employee_count FROM (
+  SELECT strftime(attendance_date, '%Y-%m') AS year_month, department_name,
+    CAST(sum(total_records) AS BIGINT) AS total_records,
+    {pctn('sum(present_count)', 'sum(total_records)')} AS attendance_rate_pct,
+    {pctn('sum(absent_count)', 'sum(total_records)')} AS absence_rate_pct,
+    {pctn('sum(late_count)', 'sum(total_records)')} AS late_rate_pct
+  FROM m_daily GROUP BY 1, 2 ORDER BY 1 DESC, 2 NULLS LAST LIMIT 10) r
+LEFT JOIN (SELECT strftime(attendance_date, '%Y-%m') AS year_month, department_name, count(DISTINCT employee_int_id) AS employee_count
+  FROM b_daily WHERE employee_int_id IS NOT NULL GROUP BY 1, 2) h
+ON r.year_month = h.year_month AND r.department_name IS NOT DISTINCT FROM h.department_name""",
     "g5_top_salaries": f"""SELECT full_name, department_name, job_code_name,
   CAST(estimated_annual_salary AS DOUBLE) AS estimated_annual_salary {_ACTIVE}
 ORDER BY b_demo.estimated_annual_salary DESC, full_name, department_name, job_code_name LIMIT 10""",
@@ -330,13 +381,8 @@ FROM h_ratio WHERE year = 2001 AND understaffed_days_pct > 10""",
   count(*) FILTER (WHERE employment_status = 'Active') AS active_count,
   {avg2('tenure_years', 1)} AS avg_tenure_years, {avg2('attendance_rate_pct', 1)} AS avg_attendance_rate
 FROM h_staff GROUP BY 1, 2 ORDER BY staff_count DESC, clinical_role, care_unit_type LIMIT 15""",
-    "h11_burnout_groups": f"""SELECT clinical_role, department, count(*) AS staff_count,
-  {avg2('ytd_overtime_hours', 1)} AS avg_overtime_hours, {avg2('overtime_percentage', 1)} AS avg_overtime_pct,
-  count(*) FILTER (WHERE burnout_risk_level = 'High Risk') AS high_risk_count,
-  count(*) FILTER (WHERE burnout_risk_level = 'Moderate Risk') AS moderate_risk_count
-FROM h_staff WHERE employment_status = 'Active' GROUP BY 1, 2
-HAVING CAST(sum(CAST(ytd_overtime_hours AS DECIMAL(18,2))) AS DOUBLE) / count(ytd_overtime_hours) > 20
-ORDER BY avg_overtime_hours DESC, clinical_role, department NULLS LAST LIMIT 15""",
+    "h11_burnout_groups": _burnout_groups(50),
+    "h11_burnout_groups_from_20_hours": _burnout_groups(20),
     "h12_coverage_by_week": f"""SELECT strftime(week_start_date, '%Y-%m-%d') AS week, shift_type,
   CAST(sum(staff_count) AS BIGINT) AS total_staff, {avg2('avg_hours_per_shift', 1)} AS avg_hours_per_shift,
   {rnd('sum(CAST(total_overtime_hours AS DECIMAL(18,2)))', 2)} AS total_overtime_hours,
@@ -349,7 +395,7 @@ FROM h_cover WHERE week_start_date >= {AS_OF} - INTERVAL 28 DAY GROUP BY week_st
   CAST(round(CAST(avg_total_staff_count AS DECIMAL(18,2)), 1) AS DOUBLE) AS avg_total_staff,
   min_total_staff_count AS min_staff, max_total_staff_count AS max_staff,
   understaffed_days_pct AS pct_understaffed_days
-FROM h_ratio WHERE year = 2001 AND month = 7""",
+FROM h_ratio WHERE year = 2001 AND month = 8""",
     "h14_critical_care_summary": """SELECT care_unit_type, clinical_role, department, staff_count, active_count,
   CAST(round(CAST(avg_tenure_years AS DECIMAL(18,2)), 1) AS DOUBLE) AS avg_tenure,
   CAST(round(CAST(avg_attendance_rate AS DECIMAL(18,2)), 1) AS DOUBLE) AS attendance_rate,
@@ -359,12 +405,12 @@ FROM h_metrics WHERE employment_status = 'Active'
     "h15_differential_pay": f"""SELECT shift_type, day_type, CAST(sum(staff_count) AS BIGINT) AS total_staff,
   {rnd('sum(CAST(total_hours_worked AS DECIMAL(18,2)))', 2)} AS total_hours,
   CAST(sum(shifts_with_differential) AS BIGINT) AS differential_shifts,
-  {avg2('differential_pct', 1)} AS avg_differential_pct {_COVER_MONTH}""",
+  {avg2('differential_pct', 1)} AS avg_differential_pct {_COVER_MONTH.replace('07', '08')}""",
     "h16_turnover_indicators": f"""SELECT clinical_role, care_unit_type, department, staff_count,
   new_hires_under_1_year, experienced_staff_5plus_years,
   {pctn('new_hires_under_1_year', 'staff_count')} AS new_hire_pct,
   {pctn('experienced_staff_5plus_years', 'staff_count')} AS experienced_pct
-FROM h_metrics WHERE employment_status = 'Active' AND staff_count >= 2
+FROM h_metrics WHERE employment_status = 'Active' AND staff_count >= 5
 ORDER BY new_hire_pct DESC, clinical_role, care_unit_type, department NULLS LAST LIMIT 15""",
     "h17_icu_nurses_at_risk": """SELECT full_name, department, ytd_overtime_hours, burnout_risk_level FROM h_staff
 WHERE clinical_role = 'Registered Nurse' AND care_unit_type = 'ICU/Critical Care'
@@ -374,7 +420,7 @@ FROM h_staff WHERE employment_status = 'Active' GROUP BY 1, 2""",
     "h18_night_shift_staffing": f"""SELECT CAST(h_shift.attendance_date AS VARCHAR) AS attendance_date, department,
   count(*) AS staff_count, {rnd('CAST(sum(worked_minutes) AS BIGINT) / 60.0', 2)} AS total_hours,
   {rnd('CAST(sum(overtime_minutes) AS BIGINT) / 60.0', 2)} AS total_overtime
-FROM h_shift WHERE shift_type = 'Night Shift' AND h_shift.attendance_date >= {AS_OF} - 30
+FROM h_shift WHERE shift_type = 'Night Shift' AND h_shift.attendance_date >= {AS_OF} - 7
 GROUP BY h_shift.attendance_date, department""",
     "h18_weekend_coverage": f"""SELECT department, count(DISTINCT employee_id) AS unique_staff
 FROM h_shift WHERE day_type = 'Weekend' AND attendance_date >= {AS_OF} - 30 GROUP BY 1""",
@@ -388,7 +434,7 @@ FROM h_shift WHERE day_type = 'Weekend' AND attendance_date >= {AS_OF} - 30 GROU
 WHERE burnout_risk_level = 'High Risk' OR attendance_rate_pct < 90""",
     "h22_variable_shifts": """SELECT department, shift_type, CAST(week_start_date AS VARCHAR) AS week_start_date,
   staff_count_stddev, min_total_staff_count, max_total_staff_count
-FROM h_ratio WHERE staff_count_stddev > 1""",
+FROM h_ratio WHERE staff_count_stddev > 2""",
 }
 
 _DETAIL = """SELECT employee_id, full_name, department_name, job_code_name, employee_type, employee_status,
@@ -429,23 +475,17 @@ _QUERIES.update({
 })
 
 
-# Columns that hold nulls next to whole numbers or flags, and the type they are compared in.
-_HOLD_NULLS: dict[str, dict[str, str]] = {
-    "a1_import_table": {"Activity_Id": "DOUBLE"},
-    "a2_recent_window": {"Activity_Id": "DOUBLE"},
-    "b2_stg_attendance": {"shift_diff_flag": "VARCHAR"},
-    "b3_stg_daily_attendance": {"attendance_id": "DOUBLE", "attendance_status_id": "DOUBLE",
-                                "employee_int_id": "DOUBLE"},
-    "b6_stg_payroll": {"age": "DOUBLE", "arrears_assigned": "VARCHAR"},
-    "b7_stg_payroll_main": {"payroll_work_id": "DOUBLE"},
-    "c1_attendance_detail": {"shift_diff_flag": "VARCHAR"},
-    "c2_daily_attendance_detail": {"attendance_id": "DOUBLE", "employee_int_id": "DOUBLE"},
-    "c4_payroll_analytics": {"payroll_work_id": "DOUBLE"},
-    "c5_payroll_detail": {"age": "DOUBLE", "arrears_assigned": "VARCHAR"},
-    "c8_workforce_demographics": {"age": "DOUBLE", "tenure_years": "DOUBLE"},
-    "e12_employee_details": {"tenure_years": "DOUBLE"},
-    "e12_employee_details_filtered": {"tenure_years": "DOUBLE"},
-    "h3_clinical_staff": {"tenure_years": "DOUBLE"},
+# Whole numbers and flags that hold nulls, compared as text.
+_HOLD_NULLS: dict[str, str] = {
+    "a1_import_table": "Activity_Id", "a1_import_window": "Activity_Id", "a2_recent_window": "Activity_Id",
+    "a3_clean_columns": "arrears_assigned_yn Age",
+    "b2_stg_attendance": "shift_diff_flag",
+    "b3_stg_daily_attendance": "attendance_id attendance_status_id employee_int_id",
+    "b6_stg_payroll": "age arrears_assigned", "b6_stg_payroll_from_text": "age arrears_assigned", "b7_stg_payroll_main": "payroll_work_id",
+    "c1_attendance_detail": "shift_diff_flag", "c2_daily_attendance_detail": "attendance_id employee_int_id",
+    "c4_payroll_analytics": "payroll_work_id", "c5_payroll_detail": "age arrears_assigned",
+    "c8_workforce_demographics": "age tenure_years", "e12_employee_details": "tenure_years",
+    "e12_employee_details_filtered": "tenure_years", "h3_clinical_staff": "tenure_years",
 }
 
 
@@ -453,9 +493,17 @@ def _with_nulls_cast(name: str, query: str) -> str:
     casts = _HOLD_NULLS.get(name)
     if not casts:
         return query
-    replaced = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in casts.items())
+    replaced = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in casts.split())
     return f"SELECT * REPLACE ({replaced}) FROM ({query})"
 
 
+# Queries that have a twin over one master row per employee.
+LATEST_TWINS = ("c2_daily_attendance_detail", "c4_payroll_analytics", "d1_attendance_daily_metrics",
+                "d5b_chronic_lateness", "d5c_department_absence", "d5d_excessive_overtime",
+                "d9_payroll_period_metrics", "e16_attendance_departments", "e24_payroll_departments")
+
+
 def statements() -> dict[str, str]:
-    return {name: with_tables(_with_nulls_cast(name, query)) for name, query in _QUERIES.items()}
+    found = {name: with_tables(_with_nulls_cast(name, query)) for name, query in _QUERIES.items()}
+    return found | {f"{name}_latest": with_tables(_with_nulls_cast(name, _QUERIES[name]), LATEST)
+                    for name in LATEST_TWINS}

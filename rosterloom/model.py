@@ -14,8 +14,9 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, functions as F
 
+from rosterloom.operators import top_k_of_many
 from rosterloom.operators.workforce import Grain
-from rosterloom.plans import alerts, business, healthcare, kpis, metrics, staging
+from rosterloom.plans import alerts, business, healthcare, kpis, metrics, reports, staging
 
 
 class RawTables(Protocol):
@@ -39,6 +40,8 @@ VIEWS = {
                 "department_staffing_ratios", "executive_alerts", "executive_kpis",
                 "headcount_metrics", "monthly_payroll_metrics", "payroll_period_metrics",
                 "shift_coverage_metrics", "workforce_metrics"),
+    "healthcare": ("clinical_staff", "shift_punches", "shift_coverage", "clinical_workforce",
+                   "staffing_ratios"),
 }
 
 
@@ -103,11 +106,16 @@ class WorkforceModel:
     def employee_summary(self) -> DataFrame:
         return business.employee_summary(self.stg_payroll)
 
-    def payroll_analytics(self, *, since: dt.date | None = None,
-                          until: dt.date | None = None) -> DataFrame:
-        return business.payroll_analytics(
-            _between(self.stg_payroll_main, "pay_date", since, until), self.stg_workforce,
-            workforce_grain=self.workforce_grain)
+    def payroll_analytics(self, *, since: dt.date | None = None, until: dt.date | None = None,
+                          latest_only: bool = False, highest: int | None = None) -> DataFrame:
+        """``latest_only``: the newest month; ``highest``: the cheques of so many highest gross
+        amounts, ties included.  The join to the master drops no row, so both cut before it."""
+        pay = _between(self.stg_payroll_main, "pay_date", since, until)
+        if latest_only:
+            pay = in_latest_month(pay)
+        if highest is not None:
+            pay = among_highest(pay, "gross_pay", highest)
+        return business.payroll_analytics(pay, self.stg_workforce, workforce_grain=self.workforce_grain)
 
     def payroll_detail(self, *, ordered: bool = False) -> DataFrame:
         return business.payroll_detail(self.stg_payroll, ordered=ordered)
@@ -125,11 +133,13 @@ class WorkforceModel:
     # aggregated: on the date itself, so that the scan can skip files.
 
     def attendance_daily_metrics(self, *, since: dt.date | None = None,
-                                 until: dt.date | None = None,
+                                 until: dt.date | None = None, newest_months: int | None = None,
                                  ordered: bool = False) -> DataFrame:
+        daily = _between(self.stg_daily_attendance, "attendance_date", since, until)
+        if newest_months is not None:
+            daily = in_newest_months(daily, "attendance_date", newest_months)
         return metrics.attendance_daily_metrics(
-            _between(self.stg_daily_attendance, "attendance_date", since, until),
-            self.stg_workforce, workforce_grain=self.workforce_grain,
+            daily, self.stg_workforce, workforce_grain=self.workforce_grain,
             calculated_at=self.loaded_at, ordered=ordered)
 
     def attendance_metrics(self, *, ordered: bool = False) -> DataFrame:
@@ -146,6 +156,18 @@ class WorkforceModel:
             self.stg_payroll, self.stg_daily_attendance, self.stg_workforce, self.as_of,
             detected_at=self.loaded_at, workforce_grain=self.workforce_grain, ordered=ordered)
 
+    def chronic_lateness(self) -> DataFrame:
+        return alerts.chronic_lateness(self.stg_daily_attendance, self.stg_workforce, self.as_of,
+                                       workforce_grain=self.workforce_grain)
+
+    def department_absence(self) -> DataFrame:
+        return alerts.department_absence(self.stg_daily_attendance, self.stg_workforce, self.as_of,
+                                         workforce_grain=self.workforce_grain)
+
+    def excessive_overtime(self) -> DataFrame:
+        return alerts.excessive_overtime(self.stg_daily_attendance, self.stg_workforce, self.as_of,
+                                         workforce_grain=self.workforce_grain)
+
     def executive_kpis(self) -> DataFrame:
         return kpis.executive_kpis(self.stg_workforce, self.stg_daily_attendance,
                                    self.stg_payroll_main, self.as_of,
@@ -159,15 +181,28 @@ class WorkforceModel:
 
     def payroll_period_metrics(self, *, since: dt.date | None = None,
                                until: dt.date | None = None,
-                               latest_only: bool = False,
+                               latest_only: bool = False, newest_months: int | None = None,
                                ordered: bool = False) -> DataFrame:
         pay = _between(self.stg_payroll_main, "pay_date", since, until)
         if latest_only:
             pay = in_latest_month(pay)
+        if newest_months is not None:
+            pay = in_newest_months(pay, "pay_date", newest_months)
         return metrics.payroll_period_metrics(
             pay, self.stg_workforce, workforce_grain=self.workforce_grain,
             calculated_at=self.loaded_at, ordered=ordered)
 
+    def monthly_overtime(self, newest_pay_months: int) -> DataFrame:
+        """Overtime hours of the months from the first of the newest pay months on."""
+        return reports.monthly_overtime(in_newest_months(
+            self.stg_daily_attendance, "attendance_date", newest_pay_months,
+            dates=self.stg_payroll_main, of="pay_date"))
+
+    def department_headcount(self, newest_months: int) -> DataFrame:
+        return reports.department_headcount(
+            in_newest_months(self.stg_daily_attendance, "attendance_date", newest_months),
+            self.stg_workforce, self.workforce_grain)
+
     def shift_coverage_metrics(self, *, ordered: bool = False) -> DataFrame:
         return metrics.shift_coverage_metrics(self.staffing_by_shift(), ordered=ordered)
 
@@ -181,6 +216,9 @@ class WorkforceModel:
         return healthcare.clinical_staff(self.stg_workforce, self.stg_daily_attendance,
                                          self.as_of, **rules)
 
+    def clinical_workforce(self) -> DataFrame:
+        return healthcare.clinical_workforce(self.clinical_staff())
+
     def shift_punches(self) -> DataFrame:
         return healthcare.shift_punches(self.stg_daily_attendance)
 
@@ -223,7 +261,27 @@ def _between(frame: DataFrame, column: str, since: dt.date | None,
     return frame
 
 
+def in_newest_months(frame: DataFrame, column: str, k: int, *, dates: DataFrame | None = None,
+                     of: str | None = None) -> DataFrame:
+    """Rows of the ``k`` newest months of ``column`` (or of ``of`` in ``dates``), found by a
+    one-column scalar subquery.
+
+    The range on the column itself reaches the scan. All rows, if there are fewer months.
+    """
+    source, day = (frame, column) if dates is None else (dates, of or column)
+    months = source.where(F.col(day).isNotNull()).select(F.trunc(day, "MM").alias("m")).distinct()
+    newest = months.orderBy(F.desc("m")).limit(k)
+    first = newest.agg(F.when(F.count("m") == k, F.min("m"))).scalar()
+    return frame.where(F.coalesce(F.col(column) >= first, first.isNull()))
+
+
 def in_latest_month(pay: DataFrame) -> DataFrame:
-    """Rows of the newest pay month, found by a one-column scalar subquery."""
     newest = pay.agg(F.trunc(F.max("pay_date"), "MM")).scalar()
     return pay.where(F.col("pay_date") >= newest)
+
+
+def among_highest(frame: DataFrame, column: str, k: int) -> DataFrame:
+    """Rows whose ``column`` is one of its ``k`` highest, with all ties; all rows, if fewer have one."""
+    highest = top_k_of_many(frame.where(F.col(column).isNotNull()).select(column), [F.desc(column)], k)
+    least = highest.agg(F.when(F.count(column) == k, F.min(column))).scalar()
+    return frame.where(F.coalesce(F.col(column) >= least, least.isNull()))

@@ -1,7 +1,7 @@
 """Reusable relational steps: the workforce join, row copies, filters, top-k."""
 
 from rosterloom.operators.filters import equals_where_given, keep
-from rosterloom.operators.ranking import top_k, top_k_per_group
+from rosterloom.operators.ranking import top_k, top_k_of_many, top_k_per_group
 from rosterloom.operators.workforce import (
     expand_copies,
     join_workforce,
@@ -12,6 +12,7 @@ from rosterloom.operators.workforce import (
 
 __all__ = [
     "equals_where_given", "expand_copies", "join_workforce", "keep",
-    "latest_workforce", "top_k", "top_k_per_group", "weighted_sum",
+    "latest_workforce", "top_k",
+    "top_k_of_many", "top_k_per_group", "weighted_sum",
     "workforce_dimension",
 ]

@@ -12,6 +12,15 @@ def top_k(frame: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return frame.orderBy(*order).limit(k)
 
 
+def top_k_of_many(frame: DataFrame, order: Sequence[Column], k: int, groups: int = 128) -> DataFrame:
+    """:func:`top_k` over so many tasks that ``k`` rows of each would be too much for one.
+
+    The tasks' best rows first meet in ``groups`` groups of tasks, of which each keeps its best ``k``.
+    """
+    tasks = frame.withColumn("_tasks", F.pmod(F.spark_partition_id(), F.lit(groups)))
+    return top_k(top_k_per_group(tasks, ["_tasks"], order, k).drop("_tasks"), order, k)
+
+
 def top_k_per_group(frame: DataFrame, groups: Sequence[str], order: Sequence[Column],
                     k: int) -> DataFrame:
     """First ``k`` rows of each group.

@@ -27,9 +27,6 @@ Grain = Literal["snapshot", "latest"]
 KEY = "employee_int_id"
 COPIES = "copies"
 
-# Rows one exploded array may stand for; more are produced in several arrays.
-_BLOCK = 4096
-
 
 def latest_workforce(workforce: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per employee: the snapshot with the highest pay-date id.
@@ -59,10 +56,21 @@ def workforce_dimension(workforce: DataFrame, attributes: Sequence[str],
             .agg(F.count(F.lit(1)).alias(COPIES)))
 
 
-def join_workforce(facts: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Left join on the employee; a fact without a match counts once."""
-    return (facts.join(dimension, KEY, "left")
-            .withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long"))))
+def join_workforce(facts: DataFrame, dimension: DataFrame,
+                   spread_by: Sequence[str] = ()) -> DataFrame:
+    """Left join on the employee; a fact without a match counts once.
+
+    Facts without an employee match nothing, but would all meet in one task: the hash
+    of ``spread_by``, columns that tell them apart, deals them out.
+    """
+    if spread_by:
+        nobody = F.when(F.col(KEY).isNull(), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long"))
+        facts = facts.withColumn("_spread", nobody)
+        dimension = dimension.withColumn("_spread", F.lit(0).cast("long"))
+        joined = facts.join(dimension, [KEY, "_spread"], "left").drop("_spread")
+    else:
+        joined = facts.join(dimension, KEY, "left")
+    return joined.withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long")))
 
 
 def weighted_sum(column: Column | str, weight: str = COPIES) -> Column:
@@ -71,10 +79,6 @@ def weighted_sum(column: Column | str, weight: str = COPIES) -> Column:
 
 
 def expand_copies(joined: DataFrame) -> DataFrame:
-    """Repeat each row ``copies`` times, never holding more than a block in memory."""
-    last_block = ((F.col(COPIES) - 1) / _BLOCK).cast("long")
-    in_block = F.least(F.lit(_BLOCK).cast("long"), F.col(COPIES) - F.col("_block") * _BLOCK)
-    return (joined
-            .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block)))
-            .drop("_block", "_copy", COPIES))
+    """Repeat each row ``copies`` times: eight bytes per copy, and copies are one person's pay dates."""
+    return (joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES))))
+            .drop("_copy", COPIES))

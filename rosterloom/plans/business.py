@@ -69,7 +69,8 @@ def daily_attendance_detail(daily: DataFrame, workforce: DataFrame, *,
                 "total_break_hours": "total_break_mins", "on_call_hours": "on_call_duration",
                 "call_back_hours": "call_back_duration"}
     converted = {name: hours(F.col(source)).alias(name) for name, source in in_hours.items()}
-    joined = join_workforce(daily.where(day.isNotNull()), people).select(
+    joined = join_workforce(daily.where(day.isNotNull()), people,
+                            ["attendance_id", "attendance_date"]).select(
         "attendance_id", "employee_int_id", "employee_id",
         F.col("full_name").alias("employee_name"), "department_name", "department_number",
         "job_code_name", "attendance_date", year_of(day).alias("attendance_year"),
@@ -122,7 +123,8 @@ def payroll_analytics(pay: DataFrame, workforce: DataFrame, *,
     day, base_rate = F.col("pay_date"), F.col("hourly_rate")
     per_hour = F.try_divide(F.col("gross_pay").cast("double"), F.col("total_hours").cast("double"))
     worked = F.col("total_hours") > 0
-    joined = join_workforce(pay.where(day.isNotNull()), people).select(
+    joined = join_workforce(pay.where(day.isNotNull()), people,
+                            ["payroll_work_id", "pay_date"]).select(
         "payroll_work_id", "employee_int_id", "employee_id",
         F.col("full_name").alias("employee_name"), "department_name", "department_number",
         "job_code_name", "employee_type", "employee_status", "timecard_date", "pay_date",

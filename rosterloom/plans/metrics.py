@@ -48,7 +48,8 @@ def attendance_daily_metrics(daily: DataFrame, workforce: DataFrame, *,
                              ordered: bool = False) -> DataFrame:
     """Attendance counts, rates and hours per day and department."""
     joined = join_workforce(daily.where(F.col("attendance_date").isNotNull()),
-                            workforce_dimension(workforce, DEPARTMENT, workforce_grain))
+                            workforce_dimension(workforce, DEPARTMENT, workforce_grain),
+                            ["attendance_date", "total_duration", "total_break_mins"])
     status_counts = {"present_count": 1, "absent_count": 2, "leave_count": 3,
                      "holiday_count": 4, "half_day_count": 5}
     minute_sums = {"total_late_minutes": "late_by_mins", "total_minutes": "total_duration",
@@ -162,7 +163,8 @@ def payroll_period_metrics(pay: DataFrame, workforce: DataFrame, *,
              .withColumn("pay_month_start", F.trunc("pay_date", "MM"))
              .withColumn("employer_cost", F.col("gross_pay") + F.col("employer_taxes")
                          + F.col("employer_amount")))
-    joined = join_workforce(facts, workforce_dimension(workforce, DEPARTMENT, workforce_grain))
+    joined = join_workforce(facts, workforce_dimension(workforce, DEPARTMENT, workforce_grain),
+                            ["pay_date", "gross_pay", "net_pay"])
     sums = {"total_gross_pay": "gross_pay", "total_net_pay": "net_pay",
             "total_deductions": "deductions", "total_employee_taxes": "employee_taxes",
             "total_employer_taxes": "employer_taxes",

@@ -27,6 +27,7 @@ from rosterloom.operators import (
     equals_where_given,
     keep,
     top_k,
+    top_k_of_many,
     top_k_per_group,
     workforce_dimension,
 )
@@ -171,7 +172,7 @@ def employee_details(demographics: DataFrame, *, department: str | None = None,
                "employee_status", "tenure_band", "tenure_years", "direct_reports", "hourly_rate"]
     order = ascending("department_name", "full_name", "employee_id", "job_code_name",
                       "tenure_years", "hourly_rate")
-    return top_k(chosen.select(*columns), order, DETAIL_ROWS)
+    return top_k_of_many(chosen.select(*columns), order, DETAIL_ROWS)
 
 
 # Attendance page.
@@ -212,7 +213,7 @@ def attendance_records(detail: DataFrame, start: dt.date, end: dt.date, *,
     columns = ["attendance_date", "employee_name", "department_name", "attendance_status",
                "is_late", "late_by_mins", "total_hours", "ot_hours"]
     order = [*descending("attendance_date"), *ascending("employee_name", *columns[2:])]
-    return top_k(chosen.select(*columns), order, DETAIL_ROWS)
+    return top_k_of_many(chosen.select(*columns), order, DETAIL_ROWS)
 
 
 # Payroll page.
@@ -276,7 +277,7 @@ def payroll_records(payroll_analytics: DataFrame, *, period: str | None = None,
     columns = ["employee_name", "department_name", "pay_period", "gross_pay", "net_pay",
                "deductions", "total_hours", "effective_hourly_rate"]
     order = [*descending("gross_pay"), *ascending(*(c for c in columns if c != "gross_pay"))]
-    return top_k(chosen.select(*columns), order, DETAIL_ROWS)
+    return top_k_of_many(chosen.select(*columns), order, DETAIL_ROWS)
 
 
 def month_bounds(period: str) -> tuple[dt.date, dt.date]:
@@ -327,7 +328,7 @@ def benefits_detail(payroll_detail: DataFrame, plan_type: str | None = None) ->
                "coverage_tier", "current_arrears", "total_arrears"]
     order = ascending("last_name", "first_name", "benefit_plan_type", "benefit_plan_name",
                       "coverage_tier", "employee_id", "current_arrears", "total_arrears")
-    return top_k(chosen, order, DETAIL_ROWS).select(*columns)
+    return top_k_of_many(chosen, order, DETAIL_ROWS).select(*columns)
 
 
 def recent_activity(activity: DataFrame, k: int = ACTIVITY_ROWS) -> DataFrame:
@@ -345,12 +346,20 @@ def activity_by_module(activity: DataFrame, k: int = ACTIVITY_ROWS) -> DataFrame
 
 # Documented example queries, aimed at the views that hold their columns.
 
-def longest_tenured(demographics: DataFrame, k: int = TOP_ROWS) -> DataFrame:
+def longest_tenured(demographics: DataFrame, pay: DataFrame, k: int = TOP_ROWS) -> DataFrame:
+    """With the gross pay to date of each one's newest cheque; only their cheques are looked at."""
     columns = ["full_name", "department_name", "job_code_name", "tenure_years",
                "estimated_annual_salary"]
     order = [*descending("tenure_years"), *ascending("full_name", *columns[1:3]),
              *ascending("estimated_annual_salary")]
-    return top_k(_active(demographics).select(*columns), order, k)
+    longest = top_k(_active(demographics).select(KEY, *columns), [*order, *ascending(KEY)], k)
+    cheques = (pay.select(KEY, "pay_date", "payroll_work_id", "gross_pay_ytd")
+               .join(longest.select(KEY).distinct(), KEY, "left_semi"))
+    newest = cheques.groupBy(KEY).agg(
+        F.max(F.struct("pay_date", "payroll_work_id", "gross_pay_ytd")).alias("_newest"))
+    return (longest.join(newest, KEY, "left")
+            .select(KEY, *columns, F.col("_newest.gross_pay_ytd").alias("ytd_gross_pay"))
+            .orderBy(*order, *ascending(KEY)).drop(KEY))
 
 
 def department_payroll(workforce_metrics: DataFrame) -> DataFrame:
@@ -363,22 +372,48 @@ def department_payroll(workforce_metrics: DataFrame) -> DataFrame:
             .orderBy(*descending("active_employees"), *ascending("department_name")))
 
 
-def monthly_payroll(period_metrics: DataFrame, k: int = PERIODS) -> DataFrame:
+def monthly_payroll(period_metrics: DataFrame, overtime: DataFrame, k: int = PERIODS) -> DataFrame:
+    """Pay sums of the newest months, with the overtime hours punched in them."""
     totals = period_metrics.groupBy("pay_period").agg(
         F.sum("employees_paid").alias("employees"), F.sum("total_gross_pay").alias("gross_pay"),
         F.sum("total_net_pay").alias("net_pay"), F.sum("total_hours").alias("hours"))
-    return top_k(totals, descending("pay_period"), k)
+    return top_k(totals.join(overtime, "pay_period", "left"), descending("pay_period"), k)
+
+
+def monthly_overtime(daily: DataFrame) -> DataFrame:
+    return daily.groupBy(month_text("attendance_date").alias("pay_period")).agg(
+        nullable_ratio(F.sum("ot_duration"), F.lit(60), 2).alias("overtime_hours"))
 
 
-def monthly_attendance(daily_metrics: DataFrame, k: int = TOP_ROWS) -> DataFrame:
-    """Attendance rates by month and department, newest month first."""
+def monthly_attendance(daily_metrics: DataFrame, headcount: DataFrame, k: int = TOP_ROWS) -> DataFrame:
+    """Attendance rates by month and department, newest month first.
+
+    ``headcount`` (:func:`department_headcount`) counts a month's people: daily counts do not add up.
+    """
     rates = (daily_metrics
              .groupBy(month_text("attendance_date").alias("year_month"), "department_name")
              .agg(F.sum("total_records").alias("total_records"),
                   _percent("present_count", "total_records").alias("attendance_rate_pct"),
                   _percent("absent_count", "total_records").alias("absence_rate_pct"),
                   _percent("late_count", "total_records").alias("late_rate_pct")))
-    return top_k(rates, [*descending("year_month"), *ascending("department_name")], k)
+    first = top_k(rates, [*descending("year_month"), *ascending("department_name")], k)
+    joined = first.alias("r").join(headcount.alias("h"), (F.col("r.year_month") == F.col("h.year_month"))
+                                   & F.col("r.department_name").eqNullSafe(F.col("h.department_name")), "left")
+    return (joined.select("r.*", "h.employee_count")
+            .orderBy(*descending("year_month"), *ascending("department_name")))
+
+
+def department_headcount(daily: DataFrame, workforce: DataFrame,
+                         workforce_grain: Grain = "snapshot") -> DataFrame:
+    """Distinct employees with a punch, per month and department.
+
+    Facts become distinct (month, employee) rows before they meet the master.
+    """
+    homes = workforce_dimension(workforce, ["department_name"], workforce_grain)
+    seen = daily.where(F.col(KEY).isNotNull() & F.col("attendance_date").isNotNull()).select(
+        month_text("attendance_date").alias("year_month"), KEY).distinct()
+    people = seen.join(homes, KEY, "left").select("year_month", "department_name", KEY).distinct()
+    return people.groupBy("year_month", "department_name").agg(row_count().alias("employee_count"))
 
 
 def top_salaries(demographics: DataFrame, k: int = TOP_ROWS) -> DataFrame:

@@ -10,13 +10,15 @@ import datetime as dt
 from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, DateType, DecimalType, IntegralType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, IntegralType, TimestampType
 
 from rosterloom.functions import row_count
-from rosterloom.model import WorkforceModel, in_latest_month
-from rosterloom.plans import alerts, business, healthcare as hc, kpis, reports
-from rosterloom.sources import ingest, materialize, quality
-from rosterloom.sources.scratch import new_database
+from rosterloom.model import WorkforceModel
+from rosterloom.operators.workforce import Grain
+from rosterloom.plans import alerts, healthcare as hc, kpis, reports, staging
+from rosterloom.sources import conform, ingest, materialize, quality
+from rosterloom.sources.schemas import raw_schema
+from rosterloom.sources.scratch import fresh_database
 from rosterloom.sources.starschema import ACTIVITY_AS_OF, AS_OF, StarSchemaTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,21 +27,25 @@ LOADED_AT = dt.datetime(2001, 8, 1, 12)
 WINDOW = (AS_OF - dt.timedelta(days=30), AS_OF)
 MONTH = AS_OF.replace(day=1) - dt.timedelta(days=1)
 YEAR_MONTH = MONTH.strftime("%Y-%m")
+THIS_MONTH = AS_OF.strftime("%Y-%m")
 # Rows of an import's window end here, and it looks back this far.
 IMPORT_NOW = dt.datetime.combine(ACTIVITY_AS_OF, dt.time())
-IMPORT_DAYS = 7
+IMPORT_DAYS = 30
 
 _STAMPS = ("_loaded_at", "last_updated", "detected_at", "calculated_at", "check_time")
 
 
-# Columns that do hold nulls, by query: clients disagree on how a whole number or
-# a boolean next to a null looks, so numbers go out as DOUBLE and flags as text.
+# Columns that do hold nulls, by query: clients disagree on how a whole number or a
+# flag next to a null looks, so these go out as text.
 HOLDS_NULLS: dict[str, tuple[str, ...]] = {
     "a1_import_table": ("Activity_Id",),
+    "a1_import_window": ("Activity_Id",),
     "a2_recent_window": ("Activity_Id",),
+    "a3_clean_columns": ("arrears_assigned_yn", "Age"),
     "b2_stg_attendance": ("shift_diff_flag",),
     "b3_stg_daily_attendance": ("attendance_id", "attendance_status_id", "employee_int_id"),
     "b6_stg_payroll": ("age", "arrears_assigned"),
+    "b6_stg_payroll_from_text": ("age", "arrears_assigned"),
     "b7_stg_payroll_main": ("payroll_work_id",),
     "c1_attendance_detail": ("shift_diff_flag",),
     "c2_daily_attendance_detail": ("attendance_id", "employee_int_id"),
@@ -56,13 +62,12 @@ def comparable(frame: DataFrame, holds_nulls: Collection[str] = ()) -> DataFrame
     """The frame in types any engine's client renders alike, without load times.
 
     Whole numbers as BIGINT, decimals as DOUBLE, dates as ISO text, timestamps
-    without zone.
+    without zone, and columns of ``holds_nulls`` as text.
     """
     def plain(field):
         column = F.col(f"`{field.name}`")
         if field.name in holds_nulls:
-            target = "string" if isinstance(field.dataType, BooleanType) else "double"
-            column = column.cast(target)
+            column = column.cast("string")
         elif isinstance(field.dataType, DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, IntegralType):
@@ -76,8 +81,8 @@ def comparable(frame: DataFrame, holds_nulls: Collection[str] = ()) -> DataFrame
     return frame.select(*(plain(f) for f in frame.schema.fields if f.name not in _STAMPS))
 
 
-def model_of(spark: SparkSession, directory: str) -> WorkforceModel:
-    return WorkforceModel(StarSchemaTables(spark, directory), AS_OF, LOADED_AT)
+def model_of(spark: SparkSession, directory: str, grain: Grain = "snapshot") -> WorkforceModel:
+    return WorkforceModel(StarSchemaTables(spark, directory), AS_OF, LOADED_AT, grain)
 
 
 def _monday_on_or_after(day: dt.date) -> dt.date:
@@ -86,26 +91,32 @@ def _monday_on_or_after(day: dt.date) -> dt.date:
 
 # Imports, logs and materialisation: the queries write tables and read them back.
 
-def _activity_job(spark: SparkSession, directory: str) -> ingest.ImportJob:
+def _activity_job(spark: SparkSession, directory: str, days_back: int | None) -> ingest.ImportJob:
     return ingest.ImportJob("Activity-Log", lambda: StarSchemaTables(spark, directory).activity_log,
-                            "EnteredDate", IMPORT_DAYS)
+                            "EnteredDate", days_back)
 
 
-def _import_activity(spark: SparkSession, directory: str) -> tuple[str, int]:
-    database = new_database(spark)
-    rows = ingest.import_table(spark, _activity_job(spark, directory), database=database,
-                               log_table=f"{database}.import_log", now=IMPORT_NOW)
-    return database, rows
+def _import_activity(spark: SparkSession, directory: str, purpose: str,
+                     days_back: int | None = IMPORT_DAYS) -> str:
+    database = fresh_database(spark, purpose)
+    ingest.import_table(spark, _activity_job(spark, directory, days_back), database=database,
+                        log_table=f"{database}.import_log", now=IMPORT_NOW)
+    return database
 
 
 def import_table(spark: SparkSession, directory: str) -> DataFrame:
-    database, _ = _import_activity(spark, directory)
-    return spark.table(f"{database}.activity_log").select(
-        "Activity_Id", "Emp_Int_ID", "EnteredDate", "ModuleName")
+    """The whole log, reloaded."""
+    database = _import_activity(spark, directory, "import_full", None)
+    return spark.table(f"{database}.activity_log")
+
+
+def import_window(spark: SparkSession, directory: str) -> DataFrame:
+    """The last days of the log, reloaded."""
+    return spark.table(f"{_import_activity(spark, directory, 'import_window')}.activity_log")
 
 
 def import_log(spark: SparkSession, directory: str) -> DataFrame:
-    database, _ = _import_activity(spark, directory)
+    database = _import_activity(spark, directory, "import_log")
     return _bare_names(spark.table(f"{database}.import_log")).drop("imported_at")
 
 
@@ -115,8 +126,8 @@ def _bare_names(statuses: DataFrame) -> DataFrame:
 
 def import_many(spark: SparkSession, directory: str) -> DataFrame:
     """Three imports of which one source does not exist."""
-    database, raw = new_database(spark), StarSchemaTables(spark, directory)
-    jobs = [_activity_job(spark, directory),
+    database, raw = fresh_database(spark, "import_many"), StarSchemaTables(spark, directory)
+    jobs = [_activity_job(spark, directory, IMPORT_DAYS),
             ingest.ImportJob("1099 Missing$", lambda: raw.read("no_such_table")),
             ingest.ImportJob("TPPD Dept", lambda: raw.tppd_dept)]
     statuses = ingest.import_many(spark, jobs, database=database,
@@ -125,8 +136,8 @@ def import_many(spark: SparkSession, directory: str) -> DataFrame:
         "table_name", "row_count", F.substring_index("status", ":", 1).alias("status"))
 
 
-def _synced(spark: SparkSession, directory: str) -> tuple[str, DataFrame]:
-    database = new_database(spark)
+def _synced(spark: SparkSession, directory: str, purpose: str) -> tuple[str, DataFrame]:
+    database = fresh_database(spark, purpose)
     source = StarSchemaTables(spark, directory).crmc_payrollfile
     ingest.sync_table(spark, source, f"{database}.benefits",
                       log_table=f"{database}.freshness", now=IMPORT_NOW)
@@ -134,27 +145,24 @@ def _synced(spark: SparkSession, directory: str) -> tuple[str, DataFrame]:
 
 
 def sync_table(spark: SparkSession, directory: str) -> DataFrame:
-    database, _ = _synced(spark, directory)
+    database, _ = _synced(spark, directory, "sync")
     log = ingest.latest_per(spark.table(f"{database}.freshness"), "table_name", "checked_at")
     return _bare_names(log).drop("checked_at")
 
 
 def row_parity(spark: SparkSession, directory: str) -> DataFrame:
-    database, source = _synced(spark, directory)
+    database, source = _synced(spark, directory, "parity")
     return ingest.parity(source, spark.table(f"{database}.benefits"), "benefits")
 
 
 def recent_window(spark: SparkSession, directory: str) -> DataFrame:
     raw = StarSchemaTables(spark, directory).activity_log
-    return ingest.recent(raw, "EnteredDate", IMPORT_DAYS, IMPORT_NOW).select(
-        "Activity_Id", "Emp_Int_ID", "EnteredDate", "ModuleName")
+    return ingest.recent(raw, "EnteredDate", IMPORT_DAYS, IMPORT_NOW)
 
 
 def clean_columns(spark: SparkSession, directory: str) -> DataFrame:
     """Every benefits line under cleaned names."""
-    cleaned = ingest.clean_column_names(StarSchemaTables(spark, directory).crmc_payrollfile)
-    return cleaned.select("Employee_ID", "First_Name", "Benefit_Plan_Type",
-                          "Coverage_Tier_Name_(No_Codes)", "Current_Arrears", "No_of_PP")
+    return ingest.clean_column_names(StarSchemaTables(spark, directory).crmc_payrollfile)
 
 
 def quality_report(spark: SparkSession, directory: str) -> DataFrame:
@@ -170,8 +178,37 @@ def quality_report(spark: SparkSession, directory: str) -> DataFrame:
     ])
 
 
+def _text_feed(spark: SparkSession, directory: str) -> DataFrame:
+    """The benefits file as text, with some values that will not cast."""
+    raw = StarSchemaTables(spark, directory).crmc_payrollfile
+    pp, text = F.col("No of PP"), [F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns]
+    spoiled = {"Age": (pp == 7, "n/a"), "Total Arrears": (pp == 6, "12,5"), "arrears_assigned_yn": (pp == 5, "maybe")}
+    return raw.select(*(F.when(spoiled[c][0], F.lit(spoiled[c][1])).otherwise(t).alias(c) if c in spoiled else t
+                        for c, t in zip(raw.columns, text)))
+
+
+def uncastable_values(spark: SparkSession, directory: str) -> DataFrame:
+    return conform.uncastable(_text_feed(spark, directory), "crmc_payrollfile", raw_schema("crmc_payrollfile"))
+
+
+def staged_text_feed(spark: SparkSession, directory: str) -> DataFrame:
+    """The benefits view over text, with nulls for what will not cast."""
+    raw = conform.conform(_text_feed(spark, directory), raw_schema("crmc_payrollfile"), "null")
+    return staging.stg_payroll(raw, LOADED_AT)
+
+
+def _clustered(spark: SparkSession, directory: str) -> DataFrame:
+    """Daily metrics materialised by date, and the last 30 days read back: files of other days are skipped."""
+    database = fresh_database(spark, "materialized_by_date")
+    materialize.materialize(spark, model_of(spark, directory), "metrics.attendance_daily_metrics",
+                            cache_database=database, log_table=f"{database}.materialized_views", now=IMPORT_NOW,
+                            layout=ingest.TableLayout(cluster_by=("attendance_date", "department_name")))
+    return spark.table(f"{database}.attendance_daily_metrics").where(
+        F.col("attendance_date").between(F.lit(WINDOW[0]), F.lit(WINDOW[1])))
+
+
 def _materialized(spark: SparkSession, directory: str, view: str) -> str:
-    database = new_database(spark)
+    database = fresh_database(spark, f"materialized_{view.rpartition('.')[2]}")
     materialize.materialize(spark, model_of(spark, directory), view, cache_database=database,
                             log_table=f"{database}.materialized_views", now=IMPORT_NOW)
     return database
@@ -189,6 +226,7 @@ def refresh_log(spark: SparkSession, directory: str) -> DataFrame:
 
 INGEST: dict[str, Query] = {
     "a1_import_table": import_table,
+    "a1_import_window": import_window,
     "a2_recent_window": recent_window,
     "a3_clean_columns": clean_columns,
     "a4_import_many": import_many,
@@ -196,8 +234,11 @@ INGEST: dict[str, Query] = {
     "a6_import_log": import_log,
     "a7_row_parity": row_parity,
     "a8_quality_report": quality_report,
+    "a8_uncastable_values": uncastable_values,
     "a9_materialized_view": materialized_view,
+    "a9_materialized_window": _clustered,
     "a9_refresh_log": refresh_log,
+    "b6_stg_payroll_from_text": staged_text_feed,
 }
 
 # Views.  Terminal outputs are sorted where the view is.
@@ -225,12 +266,9 @@ VIEW_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "d4_department_staffing_ratios": lambda m: m.department_staffing_ratios(ordered=True),
     "d5_executive_alerts": lambda m: m.executive_alerts(ordered=True),
     "d5a_high_arrears": lambda m: alerts.high_arrears(m.stg_payroll),
-    "d5b_chronic_lateness": lambda m: alerts.chronic_lateness(
-        m.stg_daily_attendance, m.stg_workforce, m.as_of),
-    "d5c_department_absence": lambda m: alerts.department_absence(
-        m.stg_daily_attendance, m.stg_workforce, m.as_of),
-    "d5d_excessive_overtime": lambda m: alerts.excessive_overtime(
-        m.stg_daily_attendance, m.stg_workforce, m.as_of),
+    "d5b_chronic_lateness": lambda m: m.chronic_lateness(),
+    "d5c_department_absence": lambda m: m.department_absence(),
+    "d5d_excessive_overtime": lambda m: m.excessive_overtime(),
     "d5e_recent_terminations": lambda m: alerts.recent_terminations(m.stg_workforce, m.as_of),
     "d6_executive_kpis": lambda m: m.executive_kpis(),
     "d6a_headcount": lambda m: kpis.headcount(m.stg_workforce, m.as_of),
@@ -246,10 +284,6 @@ VIEW_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
 }
 
 
-def _latest_payroll_rows(m: WorkforceModel) -> DataFrame:
-    return business.payroll_analytics(in_latest_month(m.stg_payroll_main), m.stg_workforce)
-
-
 def _payroll_of(m: WorkforceModel, period: str) -> DataFrame:
     since, until = reports.month_bounds(period)
     return m.payroll_analytics(since=since, until=until)
@@ -283,7 +317,7 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "e15_departments_by_attendance": lambda m: reports.departments_by_attendance(
         m.attendance_daily_metrics(), *WINDOW),
     "e16_attendance_departments": lambda m: reports.departments_with_facts(
-        m.stg_daily_attendance, m.stg_workforce),
+        m.stg_daily_attendance, m.stg_workforce, workforce_grain=m.workforce_grain),
     "e17_attendance_records": lambda m: reports.attendance_records(
         m.daily_attendance_detail(), *WINDOW),
     "e17_attendance_records_filtered": lambda m: reports.attendance_records(
@@ -292,16 +326,20 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "e18_payroll_ytd_summary": lambda m: reports.payroll_ytd_summary(
         m.payroll_period_metrics(since=m.as_of.replace(month=1, day=1),
                                  until=m.as_of.replace(month=12, day=31)), m.as_of),
-    "e19_payroll_trend": lambda m: reports.payroll_trend(m.payroll_period_metrics()),
+    "e19_payroll_trend": lambda m: reports.payroll_trend(
+        m.payroll_period_metrics(newest_months=reports.PERIODS)),
     "e20_latest_period_departments": lambda m: reports.latest_period_departments(
         m.payroll_period_metrics(latest_only=True)),
-    "e21_top_earners": lambda m: reports.top_earners(_latest_payroll_rows(m)),
+    "e21_top_earners": lambda m: reports.top_earners(
+        m.payroll_analytics(latest_only=True)),
     "e22_deductions_and_taxes": lambda m: reports.deductions_and_taxes(
-        m.payroll_period_metrics()),
+        m.payroll_period_metrics(newest_months=reports.TAX_PERIODS)),
     "e23_period_choices": lambda m: reports.period_choices(m.stg_payroll_main),
     "e24_payroll_departments": lambda m: reports.departments_with_facts(
-        m.stg_payroll_main.where(F.col("pay_date").isNotNull()), m.stg_workforce),
-    "e25_payroll_records": lambda m: reports.payroll_records(m.payroll_analytics()),
+        m.stg_payroll_main.where(F.col("pay_date").isNotNull()), m.stg_workforce,
+        workforce_grain=m.workforce_grain),
+    "e25_payroll_records": lambda m: reports.payroll_records(
+        m.payroll_analytics(highest=reports.DETAIL_ROWS)),
     "e25_payroll_records_filtered": lambda m: reports.payroll_records(
         _payroll_of(m, YEAR_MONTH), period=YEAR_MONTH, department="ICU NATION_0"),
     "e26_employee_search": lambda m: reports.employee_search(m.employee_summary(), "aDa 1_"),
@@ -315,10 +353,15 @@ REPORT_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
         m.payroll_detail(), "ECONOMY"),
     "e29_recent_activity": lambda m: reports.recent_activity(m.stg_activity_log),
     "e30_activity_by_module": lambda m: reports.activity_by_module(m.stg_activity_log),
-    "g1_longest_tenured": lambda m: reports.longest_tenured(m.workforce_demographics()),
+    "g1_longest_tenured": lambda m: reports.longest_tenured(
+        m.workforce_demographics(), m.stg_payroll_main),
     "g2_department_payroll": lambda m: reports.department_payroll(m.workforce_metrics()),
-    "g3_monthly_payroll": lambda m: reports.monthly_payroll(m.payroll_period_metrics()),
-    "g4_monthly_attendance": lambda m: reports.monthly_attendance(m.attendance_daily_metrics()),
+    "g3_monthly_payroll": lambda m: reports.monthly_payroll(
+        m.payroll_period_metrics(newest_months=reports.PERIODS),
+        m.monthly_overtime(reports.PERIODS)),
+    "g4_monthly_attendance": lambda m: reports.monthly_attendance(
+        m.attendance_daily_metrics(newest_months=reports.TOP_ROWS),
+        m.department_headcount(reports.TOP_ROWS)),
     "g5_top_salaries": lambda m: reports.top_salaries(m.workforce_demographics()),
     "g6_salary_by_department": lambda m: reports.salary_by_department(
         m.workforce_demographics()),
@@ -335,8 +378,8 @@ def _recent_coverage(m: WorkforceModel) -> DataFrame:
     return m.shift_coverage(since=since)
 
 
-def _month_coverage(m: WorkforceModel) -> DataFrame:
-    since, until = reports.month_bounds(YEAR_MONTH)
+def _month_coverage(m: WorkforceModel, month: str) -> DataFrame:
+    since, until = reports.month_bounds(month)
     return m.shift_coverage(since=since, until=until)
 
 
@@ -345,9 +388,9 @@ def _recent_ratios(m: WorkforceModel) -> DataFrame:
     return m.staffing_ratios(since=since)
 
 
-def _month_ratios(m: WorkforceModel) -> DataFrame:
-    """Weeks starting in July: from the first Monday to six days past the month's end."""
-    since, until = reports.month_bounds(YEAR_MONTH)
+def _month_ratios(m: WorkforceModel, month: str) -> DataFrame:
+    """Weeks starting in the month: from its first Monday to six days past its end."""
+    since, until = reports.month_bounds(month)
     return m.staffing_ratios(since=_monday_on_or_after(since),
                              until=until + dt.timedelta(days=6))
 
@@ -377,31 +420,42 @@ HEALTHCARE_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "h9_understaffed_shifts": lambda m: hc.understaffed_shifts(
         m.staffing_ratios(since=_monday_on_or_after(m.as_of.replace(month=1, day=1))), m.as_of),
     "h10_staff_distribution": lambda m: hc.staff_distribution(m.clinical_staff()),
-    "h11_burnout_groups": lambda m: hc.burnout_groups(m.clinical_staff(), minimum_hours=20.0),
+    "h11_burnout_groups": lambda m: hc.burnout_groups(m.clinical_staff()),
+    "h11_burnout_groups_from_20_hours": lambda m: hc.burnout_groups(
+        m.clinical_staff(), minimum_hours=20.0),
     "h12_coverage_by_week": lambda m: hc.coverage_by_week(_recent_coverage(m), m.as_of),
-    "h13_staffing_this_month": lambda m: hc.staffing_this_month(_month_ratios(m), MONTH),
+    "h13_staffing_this_month": lambda m: hc.staffing_this_month(
+        _month_ratios(m, THIS_MONTH), AS_OF),
     "h14_critical_care_summary": lambda m: hc.critical_care_summary(
         hc.clinical_workforce(m.clinical_staff())),
-    "h15_differential_pay": lambda m: hc.differential_pay(_month_coverage(m), YEAR_MONTH),
+    "h15_differential_pay": lambda m: hc.differential_pay(
+        _month_coverage(m, THIS_MONTH), THIS_MONTH),
     "h16_turnover_indicators": lambda m: hc.turnover_indicators(
-        hc.clinical_workforce(m.clinical_staff()), minimum_staff=2),
+        hc.clinical_workforce(m.clinical_staff())),
     "h17_icu_nurses_at_risk": lambda m: hc.icu_nurses_at_risk(m.clinical_staff()),
     "h17_active_staff_by_role": lambda m: hc.active_staff_by_role(m.clinical_staff()),
     "h18_night_shift_staffing": lambda m: hc.night_shift_staffing(
-        m.stg_daily_attendance, m.stg_workforce, m.as_of, days=30),
+        m.stg_daily_attendance, m.stg_workforce, m.as_of),
     "h18_weekend_coverage": lambda m: hc.weekend_coverage(
         m.stg_daily_attendance, m.stg_workforce, m.as_of),
     "h19_rn_shortfalls": lambda m: hc.rn_shortfalls(m.staffing_ratios()),
-    "h20_differential_hours": lambda m: hc.differential_hours(_month_coverage(m), YEAR_MONTH),
+    "h20_differential_hours": lambda m: hc.differential_hours(
+        _month_coverage(m, YEAR_MONTH), YEAR_MONTH),
     "h21_retention_risks": lambda m: hc.retention_risks(m.clinical_staff()),
-    "h22_variable_shifts": lambda m: hc.variable_shifts(
-        m.staffing_ratios(), minimum_stddev=1.0),
+    "h22_variable_shifts": lambda m: hc.variable_shifts(m.staffing_ratios()),
 }
 
 
+# Queries that also run over one master row per employee.
+LATEST_TWINS = ("c2_daily_attendance_detail", "c4_payroll_analytics", "d1_attendance_daily_metrics",
+                "d5b_chronic_lateness", "d5c_department_absence", "d5d_excessive_overtime",
+                "d9_payroll_period_metrics", "e16_attendance_departments", "e24_payroll_departments")
+
+
 def all_queries() -> dict[str, Query]:
-    def over_model(name: str, build: Callable[[WorkforceModel], DataFrame]) -> Query:
-        return lambda spark, directory: comparable(build(model_of(spark, directory)),
+    def over_model(name: str, build: Callable[[WorkforceModel], DataFrame],
+                   grain: Grain = "snapshot") -> Query:
+        return lambda spark, directory: comparable(build(model_of(spark, directory, grain)),
                                                    HOLDS_NULLS.get(name, ()))
 
     def over_files(name: str, build: Query) -> Query:
@@ -409,6 +463,7 @@ def all_queries() -> dict[str, Query]:
                                                    HOLDS_NULLS.get(name, ()))
 
     found = {name: over_files(name, build) for name, build in INGEST.items()}
-    for group in (VIEW_QUERIES, REPORT_QUERIES, HEALTHCARE_QUERIES):
-        found.update((name, over_model(name, build)) for name, build in group.items())
+    groups = VIEW_QUERIES | REPORT_QUERIES | HEALTHCARE_QUERIES
+    found.update((name, over_model(name, build)) for name, build in groups.items())
+    found.update((f"{name}_latest", over_model(name, groups[name], "latest")) for name in LATEST_TWINS)
     return found

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -75,16 +76,33 @@ class ImportJob:
 
 
 def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) -> int:
-    """Overwrites ``target`` and returns its row count.
+    """Replaces ``target`` by the frame's rows and returns their number.
 
-    The rows are counted in the written table, from the files' footers, so the
-    source is not read a second time.
+    The rows are written beside the old table, which goes only when they are complete, and
+    counted in the written table, from the files' footers. ``cluster_by`` reads the source once more, to
+    sample its ranges.
     """
     if layout.cluster_by:
         frame = (frame.repartitionByRange(*layout.cluster_by)
                  .sortWithinPartitions(*layout.partition_by, *layout.cluster_by))
-    frame.write.mode("overwrite").saveAsTable(target, partitionBy=list(layout.partition_by) or None)
-    return frame.sparkSession.table(target).count()
+    spark, beside = frame.sparkSession, f"{target}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    try:
+        frame.write.saveAsTable(beside, partitionBy=list(layout.partition_by) or None)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    rows = spark.table(beside).count()
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
+    return rows
+
+
+def _import(job: ImportJob, target: str, now: dt.datetime) -> int:
+    frame = job.read()
+    if job.date_column and job.days_back:
+        frame = recent(frame, job.date_column, job.days_back, now)
+    return replace_table(frame, target, job.layout)
 
 
 def import_table(spark: SparkSession, job: ImportJob, *, database: str, log_table: str,
@@ -92,10 +110,7 @@ def import_table(spark: SparkSession, job: ImportJob, *, database: str, log_tabl
     """Full reload of one table, logged; an error is logged and raised again."""
     target = f"{database}.{target_name(job.source_name)}"
     try:
-        frame = job.read()
-        if job.date_column and job.days_back:
-            frame = recent(frame, job.date_column, job.days_back, now)
-        rows = replace_table(frame, target, job.layout)
+        rows = _import(job, target, now)
     except Exception as error:
         append_log(spark, log_table, IMPORT_LOG, [(target, now, 0, f"error: {error}")])
         raise
@@ -104,16 +119,22 @@ def import_table(spark: SparkSession, job: ImportJob, *, database: str, log_tabl
 
 
 def import_many(spark: SparkSession, jobs: Sequence[ImportJob], *, database: str,
-                log_table: str, now: dt.datetime) -> DataFrame:
-    """Imports all jobs; one failure does not stop the rest.  Returns their statuses."""
-    statuses = []
-    for job in jobs:
+                log_table: str, now: dt.datetime, at_once: int = 4) -> DataFrame:
+    """Imports all jobs, ``at_once`` at a time; one failure does not stop the rest.
+
+    Returns their statuses, which are logged together in the order of the jobs.
+    """
+    def status(job: ImportJob) -> tuple:
         target = f"{database}.{target_name(job.source_name)}"
         try:
-            rows = import_table(spark, job, database=database, log_table=log_table, now=now)
-            statuses.append((target, now, rows, "success"))
+            return target, now, _import(job, target, now), "success"
         except Exception as error:
-            statuses.append((target, now, 0, f"error: {error}"))
+            return target, now, 0, f"error: {error}"
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        statuses = list(pool.map(status, jobs))
+    if statuses:
+        append_log(spark, log_table, IMPORT_LOG, statuses)
     return spark.createDataFrame(statuses, IMPORT_LOG)
 
 

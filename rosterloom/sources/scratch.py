@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import re
 
 from pyspark.sql import SparkSession
 
@@ -11,21 +10,22 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``; where it names none, one of the warehouse.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a machine-local one would be lost with its executor.
+    Both are shared by all executors, on any master.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    return tempfile.mkdtemp(prefix="rosterloom-")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
-def new_database(spark: SparkSession, prefix: str = "rosterloom") -> str:
-    """A database of its own under the shared folder; returns its name."""
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+def fresh_database(spark: SparkSession, purpose: str) -> str:
+    """An empty database for ``purpose`` under the shared folder; returns its name.
+
+    What an earlier use for the same purpose in this application left is dropped, so
+    tables do not pile up.
+    """
+    application = re.sub(r"\W", "_", spark.sparkContext.applicationId)
+    name = f"rosterloom_{purpose}_{application}"
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
     return name

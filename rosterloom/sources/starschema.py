@@ -32,9 +32,6 @@ JOBS = ("Registered Nurse", "RN Charge", "Licensed Practical Nurse",
         "Radiology Technician", "Clerk")
 ACTIVE_MARKS = ("Y", " yes ", "TRUE", "1", "N", None)
 
-# Columns whose hash spreads a table's rows evenly.
-_SPREAD_BY = {"lineitem": ("l_orderkey", "l_partkey", "l_linenumber"), "orders": ("o_orderkey",)}
-
 
 def _pick(values: tuple[str | None, ...], index: str) -> str:
     items = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
@@ -74,26 +71,16 @@ def _columns(expressions: Mapping[str, str]) -> list[str]:
 class StarSchemaTables:
     """Lazy raw tables over ``<directory>/<table>.parquet``."""
 
-    _schemas: dict[str, StructType] = {}
-
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self.directory = spark, directory
+        self._schemas: dict[str, StructType] = {}
 
     def read(self, table: str) -> DataFrame:
-        """A table's rows; its schema is read from the files once per process.
-
-        A table that is a single file is one row group or a few, which as many
-        tasks must read: its rows are spread over the cores first.  Tables of
-        many files are left as they are split.
-        """
+        """A table's rows, as its files are split; its schema is read from the files once per instance."""
         path = f"{self.directory}/{table}.parquet"
-        if path not in self._schemas:
-            self._schemas[path] = self.spark.read.parquet(path).schema
-        frame = self.spark.read.schema(self._schemas[path]).parquet(path)
-        keys = _SPREAD_BY.get(table)
-        if keys and len(frame.inputFiles()) == 1:
-            frame = frame.repartition(self.spark.sparkContext.defaultParallelism, *keys)
-        return frame
+        if table not in self._schemas:
+            self._schemas[table] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[table]).parquet(path)
 
     def _lines(self) -> DataFrame:
         orders = self.read("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")

@@ -10,7 +10,7 @@ from rosterloom.operators import workforce as wf
 
 
 def test_copies_are_expanded_across_blocks(spark):
-    sizes = {1: 1, 2: wf._BLOCK, 3: wf._BLOCK + 1, 4: 2 * wf._BLOCK, 5: 2 * wf._BLOCK + 7}
+    sizes = {1: 1, 2: 2, 3: 4096, 4: 4097, 5: 9000}
     frame = spark.createDataFrame(list(sizes.items()), "id int, copies long")
     counted = operators.expand_copies(frame).groupBy("id").count().collect()
     assert {r["id"]: r["count"] for r in counted} == sizes
@@ -50,6 +50,29 @@ def test_a_hot_employee_on_both_sides(spark):
     assert operators.expand_copies(joined).count() == total
 
 
+def test_facts_without_an_employee_are_dealt_out(spark):
+    """Half of the facts have no employee: no task gets more than its share of them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(8000).selectExpr("id AS fact", "IF(id % 2 = 0, NULL, id) AS employee_int_id")
+        people = spark.range(8000).selectExpr("id AS employee_int_id", "'a' AS department")
+        joined = operators.join_workforce(
+            fact, operators.workforce_dimension(people, ["department"]), ["fact"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 1.5 * 8000 / len(sizes)
+        assert joined.where("department IS NOT NULL").count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_top_k_of_many_is_top_k(spark):
+    frame = spark.range(1000).selectExpr("id * 7919 % 1009 AS x").repartition(13)
+    found = operators.top_k_of_many(frame, [F.desc("x")], 25, groups=4).collect()
+    assert [r["x"] for r in found] == [r["x"] for r in operators.top_k(frame, [F.desc("x")], 25).collect()]
+
+
 def test_latest_snapshot_wins_and_ties_are_settled(spark):
     rows = [(1, 5, "old"), (1, 9, "new"), (2, None, "only"), (3, 4, "a"), (3, 4, "b"),
             (None, 1, "nobody")]

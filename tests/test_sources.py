@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.model import VIEWS, WorkforceModel
 from rosterloom.sources import ingest, materialize, quality
-from rosterloom.sources.scratch import new_database, shared_folder
+from rosterloom.sources.scratch import fresh_database, shared_folder
 from rosterloom.sources.starschema import AS_OF as STAR_AS_OF, StarSchemaTables
 
 NOW = dt.datetime(2024, 1, 31)
@@ -27,13 +27,28 @@ def test_column_names_are_cleaned(spark):
 
 @pytest.fixture
 def database(spark):
-    return new_database(spark, "tests")
+    return fresh_database(spark, "tests")
 
 
 def test_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_fresh_database_drops_what_was_there(spark):
+    name = fresh_database(spark, "reused")
+    ingest.replace_table(spark.range(3), f"{name}.t")
+    assert fresh_database(spark, "reused") == name
+    assert not spark.catalog.tableExists(f"{name}.t")
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark, database):
+    ingest.replace_table(spark.range(3), f"{database}.kept")
+    with pytest.raises(Exception):
+        ingest.replace_table(spark.range(2).select(F.raise_error(F.lit("boom")).alias("id")), f"{database}.kept")
+    assert spark.table(f"{database}.kept").count() == 3
+    assert not spark.catalog.tableExists(f"{database}.kept__new")
+
+
 def test_import_replaces_and_logs(spark, database):
     log = f"{database}.import_log"
 
@@ -141,7 +156,7 @@ def test_materialize_and_refresh_record(spark, database, model):
 def test_views_answer_sql(spark, model):
     model.register()
     names = [name for tier in VIEWS.values() for name in tier]
-    assert len(names) == 27
+    assert len(names) == 32
     assert {t.name for t in spark.catalog.listTables() if t.isTemporary} >= set(names)
     found = spark.sql("SELECT count(*) AS n FROM workforce_demographics WHERE employee_status = ?",
                       args=["Active"]).first()
