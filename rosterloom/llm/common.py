@@ -34,8 +34,18 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
+def in_arrow(frame: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` by workers that have this package."""
+    ship(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
+
+def texts(docs: DataFrame, id_type: str = "long") -> DataFrame:
+    """``doc_id`` and ``text`` alone, typed."""
+    return docs.select(F.col("doc_id").cast(id_type).alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterloom.llm.common import free_name, kept, row_key
+from rosterloom.llm.common import free_name, in_arrow, kept, row_key, texts
 
 WINDOW, SLOP, SEGMENT_BYTES, BLOCK_BYTES = 10, 5, 6_000_000, 8_000_000
 
@@ -116,7 +116,7 @@ def build_index(docs: DataFrame, terms: set[str], segment_bytes: int = SEGMENT_B
         if keys:
             yield segment(keys, ids, lengths)
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, _INDEX)
+    return in_arrow(texts(docs, "string"), build, _INDEX)
 
 
 def term_counts(index: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def search(index: DataFrame, queries: Queries, frequency: dict[str, int], slop:
                     "items": [sorted(x) for x in exact], "near_items": [sorted(x) for x in near]},
                     schema=_FOUND_ARROW)
 
-    return index.mapInArrow(find, _FOUND)
+    return in_arrow(index, find, _FOUND)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slop: int = SLOP,

@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from rosterloom.llm.common import in_arrow, texts
 
 UNKNOWN = "und"
 _BYTES = "doc_id long, features binary"
@@ -80,7 +82,6 @@ def training_sample(docs: DataFrame, kernel: Kernel) -> DataFrame:
 
     Numbers within a language are limited before the shuffle, so one language may hold all rows.
     """
-    from pyspark.sql import Window
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     return (docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
             .withColumn("k", F.row_number().over(order)).where(F.col("k") <= kernel.per_language).drop("k"))
@@ -110,7 +111,7 @@ def fit(docs: DataFrame, kernel: Kernel = Kernel()) -> Model | None:
                 bits = np.packbits(presence([texts[k] for k in own], kernel, tables).astype(bool), axis=1)
                 yield pa.RecordBatch.from_pydict({"lang": [langs[k] for k in own], "features": [b.tobytes() for b in bits]})
 
-    got = sample.select("text", "lang").mapInArrow(featurize, "lang string, features binary").collect()
+    got = in_arrow(sample.select("text", "lang"), featurize, "lang string, features binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], bytes(r["features"])))
@@ -157,5 +158,4 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "lang_pred": names, "score": scores})
 
     size = model.kernel.batch if model else 1024
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, lang_pred string, score double"))
+    return in_arrow(texts(docs), run, "doc_id long, lang_pred string, score double")

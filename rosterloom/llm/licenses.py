@@ -12,7 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from rosterloom.llm.common import in_arrow, texts
 
 # Texts by which licenses are named or granted.
 TEMPLATES = {
@@ -203,5 +205,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, settings: Set
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_words": [n for _, n in results],
                                               "licenses": [r for r, _ in results]}, schema=schema)
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_words long, licenses array<struct<license:string,coverage:double,first:long,last:long,n_words:long>>"))
+    return in_arrow(texts(docs), run, "doc_id long, n_words long, licenses array<struct<"
+                    "license:string,coverage:double,first:long,last:long,n_words:long>>")

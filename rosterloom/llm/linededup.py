@@ -1,9 +1,10 @@
 """Line dedup by pairwise alignment.
 
-Every shared line links the documents that hold it to the earliest of them: one pair per
-line and document, however many documents share it. A pair that shares enough words
-is aligned by patience diff, and the aligned common blocks go from the later document. Documents are
-ordered by doc_id, nulls last.
+Overlapping documents are found through shared rare lines: each holder of a line that few documents have
+is paired with all earlier ones. Lines that more documents have would make too many pairs; their
+holders are paired with the earliest alone, one pair per line and document, however many share it.
+A pair that shares enough words is aligned by patience diff, and the aligned common blocks go
+from the later document. Documents are ordered by doc_id, nulls last.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterloom.llm.common import free_name, kept, row_key
+from rosterloom.llm.common import free_name, in_arrow, kept, row_key
 
-MIN_WORDS = 20
+MIN_WORDS, RARE = 20, 6
 _SEQ = "array<struct<i:int,h:long,w:int>>"
 
 
@@ -113,9 +114,15 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = kept(one.select("node", "doc_id", F.posexplode("l").alias("i", "l")).select(
         "node", F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "node").alias("at"),
         "i", F.col("l.h").alias("h"), F.col("l.w").alias("w")), "lines")
-    owners = lines.groupBy("h").agg(F.min("at").alias("owner"), F.max("at").alias("other")).where("owner <> other").select("h", "owner")
-    shared = kept(lines.join(owners, "h"), "shared")
-    pairs = (shared.where("at > owner").groupBy("at", "owner").agg(F.sum("w").alias("words"))
+    shared_lines = kept(lines.groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n"))
+                        .where("first <> last").select("h", "first", "n"), "shared_lines")
+    shared = kept(lines.join(shared_lines, "h"), "shared")
+    # At most RARE holders each: a line that is common by repetition inside its documents counts as common.
+    holders = (shared.where(F.col("n") <= RARE).groupBy("h").agg(F.collect_set("at").alias("holders")))
+    rare = (shared.where(F.col("n") <= RARE).join(holders, "h")
+            .select("at", "i", "w", F.explode(F.filter("holders", lambda x: x < F.col("at"))).alias("owner")))
+    common = shared.where((F.col("n") > RARE) & (F.col("at") > F.col("first"))).select("at", "i", "w", F.col("first").alias("owner"))
+    pairs = (rare.unionByName(common).groupBy("at", "owner").agg(F.sum("w").alias("words"))
              .where(F.col("words") >= min_words).select(F.col("at.node").alias("node"), F.col("owner.node").alias("earlier"),
                                                       F.when(~F.col("owner.last"), F.col("owner.doc_id")).alias("source")))
     pairs = kept(pairs, "pairs")
@@ -139,7 +146,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     gone.append(found)
             yield pa.RecordBatch.from_pydict({"node": nodes, "source": sources, "gone": gone}, schema=schema)
 
-    found = both.mapInArrow(align, "node string, source long, gone array<int>")
+    found = in_arrow(both, align, "node string, source long, gone array<int>")
     return found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
                                      F.sort_array(F.collect_set("source")).alias("sources"))
 

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rosterloom.llm.common import kept
+from rosterloom.llm.common import in_arrow, kept, texts
 
 CAPACITY, END_ID = 1024, 2
 _SHARES = (1.0, 0.75, 0.5, 0.25, 0.1, 0.02)
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, capacity:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, _PIECES)
+    return in_arrow(texts(docs), cut, _PIECES)
 
 
 def _knapsack(lengths, copies, values, capacity: int) -> list[tuple[int, int]]:

@@ -15,19 +15,25 @@ WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
 def brute(rows, min_words=linededup.MIN_WORDS):
-    """Text by (id, text): every document against the earliest holder of each of its lines."""
+    """Text by (id, text): every document against the earlier holders of its rare lines, and
+    the earliest holder of each common one."""
     nodes = sorted({(r[0] is None, r[0] or 0, r[1] or "") for r in rows})
     lines = {n: [(i, x, len(WORD.findall(x))) for i, x in enumerate(y for y in n[2].split("\n") if WORD.search(y))] for n in nodes}
-    first = {}
+    holders, times = {}, {}
+    copies = {n: sum((r[0] is None, r[0] or 0, r[1] or "") == n for r in rows) for n in nodes}
     for n in nodes:
         for _, x, _ in lines[n]:
-            first.setdefault(x, n)
+            times[x] = times.get(x, 0) + copies[n]
+            if n not in holders.setdefault(x, []):
+                holders[x].append(n)
     out = {}
     for n in nodes:
         shared, gone = {}, set()
         for _, x, w in lines[n]:
-            if first[x] != n:
-                shared[first[x]] = shared.get(first[x], 0) + w
+            found = holders[x] if times[x] <= linededup.RARE else holders[x][:1]
+            for m in found:
+                if m < n:
+                    shared[m] = shared.get(m, 0) + w * copies[n]
         everywhere = {x for _, x, _ in lines[n]}
         for owner, words in shared.items():
             if words < min_words:
@@ -76,7 +82,7 @@ def test_passages_go_from_later_documents(spark):
     assert text[1] == rows[0][1] and text[2] == own(2) and "short line" in text[3] and text[4] == rows[3][1]
     assert text[5] == ""
     state = {r["doc_id"]: r[frame.columns[-1]] for r in result}
-    assert state[3]["sources"] == [1] and state[3]["words_gone"] == 60 and state[3]["n_gone"] == 3
+    assert state[3]["sources"] == [1, 2] and state[3]["words_gone"] == 60 and state[3]["n_gone"] == 3
 
 
 def test_columns_and_emptied_documents(spark):
@@ -88,6 +94,15 @@ def test_columns_and_emptied_documents(spark):
     assert got == {1: (passage("x"), len(passage("x"))), 3: ("more", 4), 4: ("", 0), 5: (None, None)}
 
 
+def test_a_passage_whose_lines_began_elsewhere(spark):
+    """No earliest holder shares enough with the last document; the second one does, through rare lines."""
+    pieces = [" ".join(f"q{j}w{i}" for i in range(8)) for j in range(5)]
+    rows = [*((k, pieces[k]) for k in range(5)), (10, "\n".join(pieces)), (11, "\n".join(pieces))]
+    frame = linededup.dedup_lines(documents(spark, rows))
+    state = {r["doc_id"]: r[frame.columns[-1]] for r in frame.collect()}
+    assert state[11]["n_gone"] == 5 and state[11]["sources"] == [10] and state[10]["n_gone"] == 0
+
+
 def test_empty_table(spark):
     assert linededup.dedup_lines(documents(spark, [])).collect() == []
 
