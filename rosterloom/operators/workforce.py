@@ -66,7 +66,8 @@ def join_workforce(facts: DataFrame, dimension: DataFrame,
     if spread_by:
         nobody = F.when(F.col(KEY).isNull(), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long"))
         facts = facts.withColumn("_spread", nobody)
-        dimension = dimension.withColumn("_spread", F.lit(0).cast("long"))
+        # Zero for everyone, but no constant, which the optimizer would take out of the join's keys.
+        dimension = dimension.withColumn("_spread", F.pmod(F.xxhash64(KEY), F.lit(1)).cast("long"))
         joined = facts.join(dimension, [KEY, "_spread"], "left").drop("_spread")
     else:
         joined = facts.join(dimension, KEY, "left")

@@ -95,6 +95,8 @@ def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) ->
     rows = spark.table(beside).count()
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
+    if layout.partition_by:  # their folders have moved along
+        spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
     return rows
 
 

@@ -7,36 +7,39 @@ from rosterloom.plans import staging
 from rosterloom.sources.conform import conform, uncastable
 from rosterloom.sources.schemas import raw_schema
 
-SCHEMA = raw_schema("crmc_payrollfile")
+
+@pytest.fixture
+def schema(spark):
+    return raw_schema("crmc_payrollfile")
 
 
 def feed(spark, **columns):
     """One benefits line, all columns as text."""
-    values = {f.name: None for f in SCHEMA.fields} | {"Employee ID": "E1"} | columns
+    values = {f.name: None for f in raw_schema("crmc_payrollfile").fields} | {"Employee ID": "E1"} | columns
     return spark.createDataFrame([tuple(values.values())], ", ".join(f"`{n}` string" for n in values))
 
 
-def test_good_text_is_cast_and_staged(spark):
+def test_good_text_is_cast_and_staged(spark, schema):
     raw = feed(spark, **{"Age": "41", "No of PP": "2.5", "Current Arrears": " 12.345 ", "arrears_assigned_yn": "true", "Corp_Id": ""})
     for on_bad in ("raise", "null"):
-        row = dicts(staging.stg_payroll(conform(raw, SCHEMA, on_bad), LOADED_AT))[0]
+        row = dicts(staging.stg_payroll(conform(raw, schema, on_bad), LOADED_AT))[0]
         assert (row["age"], row["num_pay_periods"], row["current_arrears"], row["arrears_assigned"], row["corp_id"]) == (
             41, 3, Decimal("12.35"), True, None)
 
 
-def test_bad_text_stops_or_becomes_null(spark):
+def test_bad_text_stops_or_becomes_null(spark, schema):
     raw = feed(spark, **{"Age": "n/a", "Current Arrears": "12,5", "arrears_assigned_yn": "maybe", "Corp_Id": "7"})
-    row = dicts(staging.stg_payroll(conform(raw, SCHEMA, "null"), LOADED_AT))[0]
+    row = dicts(staging.stg_payroll(conform(raw, schema, "null"), LOADED_AT))[0]
     assert (row["age"], row["current_arrears"], row["arrears_assigned"], row["corp_id"]) == (None, None, None, 7)
     with pytest.raises(Exception, match="cannot cast"):
-        conform(raw, SCHEMA, "raise").collect()
+        conform(raw, schema, "raise").collect()
     with pytest.raises(ValueError):
-        conform(raw, SCHEMA, "ignore")
+        conform(raw, schema, "ignore")
 
 
-def test_bad_values_are_counted(spark):
+def test_bad_values_are_counted(spark, schema):
     raw = feed(spark, **{"Age": "n/a", "Corp_Id": "7"}).unionByName(feed(spark, **{"Age": "", "Corp_Id": "x"}))
-    counts = {r["check_name"]: (r["passed"], r["details"]) for r in dicts(uncastable(raw, "t", SCHEMA))}
+    counts = {r["check_name"]: (r["passed"], r["details"]) for r in dicts(uncastable(raw, "t", schema))}
     assert counts["castable:Age"] == (False, "1 bad values") and counts["castable:Corp_Id"] == (False, "1 bad values")
     assert counts["castable:Total Arrears"] == (True, "0 bad values")
     assert "castable:First Name" not in counts
