@@ -164,7 +164,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = kept(deletions(docs, min_words), "gone").select(F.col("node").alias(node), "gone", "sources")
     keyed = docs.withColumn(node, row_key())
     own = [F.col(f"d.`{c}`") for c in docs.columns]
-    joined = keyed.alias("d").join(gone.alias("g"), node, "left")
+    # The same plan at every size: never a broadcast, which only a small corpus would get.
+    joined = keyed.alias("d").join(gone.hint("merge").alias("g"), node, "left")
     lines = F.split("d.text", "\n")
     # Numbers count lines with words: a running count finds each line's own.
     cut = F.aggregate(
