@@ -56,26 +56,29 @@ def _without(text: Column, pattern: str) -> Column:
 def _repeat_words(words: Column, window: int) -> Column:
     """Words inside windows that occur twice or more.
 
-    Window hashes are compared first; only a text with equal hashes is sorted, by the windows themselves.
+    Window hashes are compared first. Only a text with equal hashes has them sorted, with their places, and
+    neighbours of equal hash are compared word by word.
     """
-    def of(w: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(w) - window + 1)
-        hashes = F.transform(places, lambda i: F.xxhash64(*(w[i - 1 + k] for k in range(window))))
-        grams = F.transform(places, lambda i: F.struct(
-            F.array_join(F.slice(w, i, window), " ").alias("gram"), i.alias("i")))
-
+    def covered(w: Column, hashes: Column) -> Column:
         def repeated(s: Column) -> Column:
-            same = lambda j, k: F.coalesce(F.get(s, j)["gram"] == F.get(s, k)["gram"], F.lit(False))
+            def same(j: Column, k: Column) -> Column:
+                x, y = F.get(s, j), F.get(s, k)
+                return F.coalesce((x["h"] == y["h"]) & (F.slice(w, x["i"], window) == F.slice(w, y["i"], window)), F.lit(False))
             return F.filter(F.transform(s, lambda x, j: F.when(same(j, j - 1) | same(j, j + 1), x["i"])),
                             lambda i: i.isNotNull())
 
-        covered = F.aggregate(
-            F.sort_array(bound(F.sort_array(grams), repeated)),
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i")))
+        return F.aggregate(
+            F.sort_array(bound(F.sort_array(placed), repeated)),
             F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
             lambda a, i: F.struct((a["n"] + i + window - F.greatest(a["end"], i)).alias("n"),
                                   (i + window).alias("end")), lambda a: a["n"])
-        unique = bound(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-        return F.when(F.size(w) <= window, F.lit(0)).when(unique, F.lit(0)).otherwise(covered)
+
+    def of(w: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(w) - window + 1)
+        hashes = F.transform(places, lambda i: F.xxhash64(*(w[i - 1 + k] for k in range(window))))
+        return F.when(F.size(w) <= window, F.lit(0)).otherwise(bound(hashes, lambda h: F.when(
+            F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(w, h))))
 
     return bound(words, of).cast("long")
 
@@ -96,8 +99,8 @@ def features(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         # What is left is short, so that the classes below cost little.
         F.regexp_replace(text, "[a-zß-öø-ÿ\\x20\\x09-\\x0D]+", "").alias("rest"),
         bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
-        F.when(F.col("lang").isin(*COMMON_WORDS), F.regexp_replace(F.lower(text), r"[^\p{L}]+", "  "))
-        .otherwise(F.lit("")).alias("letters")))
+        F.when(F.col("lang").isin(*COMMON_WORDS), F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), ""))
+        .otherwise(F.array().cast("array<string>")).alias("letters")))
     p = F.col(parts)
     words, rest, n_rest = p["words"], p["rest"], F.char_length(p["rest"])
     word_chars = F.char_length(F.array_join(words, ""))
@@ -109,23 +112,27 @@ def features(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     classes = F.array(word_chars - n_rest + small, capitals, digits, p["n_chars"] - word_chars, symbols, marks,
                       n_rest - symbols - digits - capitals - small - marks)
 
-    def common(padded: Column) -> Column:
-        def count(word: str) -> Column:
-            own = f" {word} "
-            return (F.char_length(padded) - F.char_length(F.replace(padded, F.lit(own), F.lit("")))) / len(own)
-        chosen = F.lit(None).cast("array<double>")
-        for lang, listed in COMMON_WORDS.items():
-            chosen = F.when(F.col("lang") == lang, F.array(*(count(w) for w in listed))).otherwise(chosen)
-        total = F.size(F.filter(F.split(padded, " +"), lambda w: w != "")).cast("double")
-        return F.when(chosen.isNotNull(), bound(chosen, lambda c: F.concat(c, F.array(
-            total - F.aggregate(c, F.lit(0.0), lambda a, x: a + x)))))
+    def common(letters: Column) -> Column:
+        # Words of no list go first; the rest is short enough to be searched for each word of the language.
+        listed = sorted({w for own in COMMON_WORDS.values() for w in own})
+        few = F.concat(F.lit(" "), F.array_join(F.filter(letters, lambda w: w.isin(*listed)), "  "), F.lit(" "))
+
+        def counts(padded: Column) -> Column:
+            chosen = F.lit(None).cast("array<double>")
+            for lang, own in COMMON_WORDS.items():
+                each = [(F.char_length(padded) - F.char_length(F.replace(padded, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)
+                        for w in own]
+                chosen = F.when(F.col("lang") == lang, F.array(*each)).otherwise(chosen)
+            return chosen
+        return bound(bound(few, counts), lambda c: F.when(c.isNotNull(), F.concat(c, F.array(
+            F.size(letters) - F.aggregate(c, F.lit(0.0), lambda a, x: a + x)))))
 
     n_repeat = _repeat_words(words, rules.window)
     return cut.withColumn(name, F.struct(
         F.size(words).cast("long").alias("n_words"), word_chars.cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"), p["n_dup_lines"].cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"), classes.cast("array<double>").alias("classes"),
-        bound(F.concat(F.lit(" "), p["letters"], F.lit(" ")), common).alias("common"))).drop(parts)
+        bound(p["letters"], common).alias("common"))).drop(parts)
 
 
 def _share(counts: Column) -> Column:
