@@ -23,11 +23,12 @@ def ship(spark: SparkSession) -> None:
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as out:
-        for folder in ("", "llm"):
-            for name in sorted(os.listdir(os.path.join(top, folder))):
+        for folder, _, names in os.walk(top):
+            for name in names:
                 if name.endswith(".py"):
-                    out.write(os.path.join(top, folder, name), os.path.join(os.path.basename(top), folder, name))
-    path = os.path.join(tempfile.mkdtemp(), "rosterloom_llm.zip")
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    path = os.path.join(tempfile.mkdtemp(), "rosterloom.zip")
     with open(path, "wb") as file:
         file.write(data.getvalue())
     spark.sparkContext.addPyFile(path)

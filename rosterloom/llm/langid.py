@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rosterloom.llm.common import in_arrow, texts
+from rosterloom.operators import top_k_per_group
 
 UNKNOWN = "und"
 _BYTES = "doc_id long, features binary"
@@ -80,11 +81,14 @@ def has_letter(text: str | None) -> bool:
 def training_sample(docs: DataFrame, kernel: Kernel) -> DataFrame:
     """``(doc_id, lang)`` of at most ``per_language`` rows of each language.
 
-    Numbers within a language are limited before the shuffle, so one language may hold all rows.
+    Every task keeps that many rows of a language at most, then every group of tasks, then
+    one task per language: none gets more than a fixed number for each group, and one language may hold all rows.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
-            .withColumn("k", F.row_number().over(order)).where(F.col("k") <= kernel.per_language).drop("k"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    rows = (docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
+            .withColumn("tasks", F.pmod(F.spark_partition_id(), F.lit(128))))
+    few = top_k_per_group(rows, ["lang", "tasks"], order, kernel.per_language)
+    return top_k_per_group(few.drop("tasks"), ["lang"], order, kernel.per_language)
 
 
 def fit(docs: DataFrame, kernel: Kernel = Kernel()) -> Model | None:
