@@ -266,13 +266,13 @@ def in_newest_months(frame: DataFrame, column: str, k: int, *, dates: DataFrame
     """Rows of the ``k`` newest months of ``column`` (or of ``of`` in ``dates``), found by a
     one-column scalar subquery.
 
-    The range on the column itself reaches the scan. All rows, if there are fewer months.
+    The range on the column itself reaches the scan.  Undated rows go; all others stay, if there are fewer months.
     """
     source, day = (frame, column) if dates is None else (dates, of or column)
     months = source.where(F.col(day).isNotNull()).select(F.trunc(day, "MM").alias("m")).distinct()
     newest = months.orderBy(F.desc("m")).limit(k)
-    first = newest.agg(F.when(F.count("m") == k, F.min("m"))).scalar()
-    return frame.where(F.coalesce(F.col(column) >= first, first.isNull()))
+    first = newest.agg(F.coalesce(F.when(F.count("m") == k, F.min("m")), F.expr("DATE'0001-01-01'"))).scalar()
+    return frame.where(F.col(column) >= first)
 
 
 def in_latest_month(pay: DataFrame) -> DataFrame:

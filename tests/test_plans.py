@@ -37,6 +37,23 @@ def test_date_windows_reach_the_files(model):
                          plan(ALL[name](model))), name
 
 
+def test_newest_months_cut_before_the_joins(model):
+    """A range against a one-row subquery, on the raw date."""
+    for name, day in (("e19_payroll_trend", "o_orderdate"), ("e22_deductions_and_taxes", "o_orderdate"),
+                      ("g3_monthly_payroll", "o_orderdate"), ("g4_monthly_attendance", "l_shipdate")):
+        assert re.search(rf"cast\({day}#\d+ as date\) >= Subquery", plan(ALL[name](model))), name
+
+
+def test_nothing_is_repartitioned_by_hand(model):
+    for name in ALL:
+        assert "REPARTITION_BY_NUM" not in plan(ALL[name](model)), name
+
+
+def test_copies_are_one_generate(model):
+    for name in ("c2_daily_attendance_detail", "c4_payroll_analytics"):
+        assert plan(ALL[name](model)).count("Generate explode(sequence(") == 1, name
+
+
 def read_columns(text: str, column: str) -> set[str]:
     """Columns read by the scan holding ``column``."""
     return next(set(re.findall(r"(\w+)#", scan)) for scan in
