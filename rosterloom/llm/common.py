@@ -63,10 +63,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def kept(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
-    Cuts lineage and survives lost executors; what made the frame runs once.
+    Cuts lineage and survives lost executors; what made the frame runs once. Texts and ids
+    are most of it, which zstd packs tighter than the default.
     """
     path = new_folder(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
