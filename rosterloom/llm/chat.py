@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rosterloom.llm.common import bound, kept
+from rosterloom.llm.common import kept
 
 # The template's control strings.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -55,18 +55,15 @@ def count_tokens(text: Column) -> Column:
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text, pos``: rows in order, nulls as empty strings, ``pos`` from 0.
-
-    Rows tie-break on role and text. Positions come from counts per block of hashed turn
-    order, see :func:`windows`.
-    """
+    """``conv_id, turn, role, text``, with null roles and texts as empty strings."""
     return conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def with_prefix_sums(rows: DataFrame, budget: Budget) -> DataFrame:
-    """Adds ``tokens`` and ``before``, the tokens of all earlier turns of the conversation, and ``pos``.
+    """Adds ``tokens``, ``before`` (the tokens of all earlier turns of the conversation) and ``pos``, the
+    place from 0: by turn, nulls first, then by role and text.
 
     Sums run inside blocks of turn numbers and then over the blocks, so a
     conversation that holds most rows is spread over its blocks.
