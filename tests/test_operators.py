@@ -6,7 +6,6 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from rosterloom import operators
-from rosterloom.operators import workforce as wf
 
 
 def test_copies_are_expanded_across_blocks(spark):
