@@ -1,6 +1,6 @@
 """License scans: winnowed fingerprints, an inverted index of templates, banded alignment.
 
-Templates are few and small, whatever the corpus: their index travels to the tasks. A text's winnowed
+Templates are few, whatever the corpus: their index travels to the tasks. A text's winnowed
 fingerprints are looked up there; templates that share some are aligned with the text around
 the shared places, inside a band, and the aligned words give coverage and spans.
 """
@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rosterloom.llm.common import in_arrow, texts
+from rosterloom.llm.license_texts import TEXTS
 
 # Texts by which licenses are named or granted.
 TEMPLATES = {
@@ -54,6 +55,64 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
+_BSD_CONDITIONS = TEMPLATES["BSD-2-Clause"]
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GNU_HEADER = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+    "published by the Free Software Foundation, either version {version} of the License, or (at your option) any later "
+    "version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.")
+_GNU = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.1": ("Lesser General", "2.1"),
+        "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3")}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+TEMPLATES |= {
+    "MIT-text": TEMPLATES["MIT"] + (
+        " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
+    "BSD-2-Clause-text": f"{_BSD_CONDITIONS} {_BSD_WARRANTY}",
+    "BSD-3-Clause-text": (
+        f"{_BSD_CONDITIONS} 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        f"endorse or promote products derived from this software without specific prior written permission. {_BSD_WARRANTY}"),
+    "BSD-2-Clause-notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause-notice": "Licensed under the BSD 3-Clause License.",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE "
+        "IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+        "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER "
+        "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."),
+    "ISC-notice": "Released under the ISC License.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "CC0-1.0-notice": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "CC0-1.0-short-notice": "Licensed under CC0 1.0.",
+    **{f"{n}-notice": f"This work is licensed under the GNU {kind} Public License, version {v}."
+       for n, (kind, v) in _GNU.items() if n != "GPL-3.0"},
+    **{f"{n}-short-notice": f"Licensed under the GNU {n.split('-')[0]}, version {v}." for n, (_, v) in _GNU.items()},
+    **{f"{n}-header": _GNU_HEADER.format(what="library" if n[0] == "L" else "program",
+                                         name=f"{kind} Public License", version=v)
+       for n, (kind, v) in _GNU.items() if n != "GPL-3.0"},
+    # Every version, so that none is taken for another.
+    **{f"CC-{kind}-{v}-notice": f"This work is licensed under a Creative Commons {name} {v} {scope} License."
+       for kind, name in _CC.items() for v, scope in (("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"),
+                                                      ("4.0", "International")) if (kind, v) != ("BY", "4.0")},
+    **{f"CC-{kind}-{v}-short-notice": f"Licensed under CC {kind} {v}." for kind in _CC for v in ("1.0", "2.0", "2.5", "3.0", "4.0")},
+} | TEXTS
+
 _WORD = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPAN = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first", pa.int64()), ("last", pa.int64()),
@@ -125,6 +184,21 @@ def align(template: np.ndarray, text: np.ndarray, start: int, band: int) -> tupl
     return best[0], best[3], 1 - best[2] if best[0] else 0
 
 
+def most_aligned(template: np.ndarray, text: np.ndarray, start: int, band: int) -> int:
+    """At least what :func:`align` finds: words of ``template`` that occur within ``band`` of their place."""
+    padded = np.zeros(len(template) + 2 * band, np.uint64)
+    known = np.zeros(len(padded), bool)
+    first, last = max(start - band, 0), min(start + len(template) + band, len(text))
+    if first >= last:
+        return 0
+    padded[first - start + band:last - start + band] = text[first:last]
+    known[first - start + band:last - start + band] = True
+    hit = np.zeros(len(template), bool)
+    for d in range(2 * band + 1):
+        hit |= known[d:d + len(template)] & (padded[d:d + len(template)] == template)
+    return int(hit.sum())
+
+
 class Scanner:
     """Templates with their inverted index of fingerprints."""
 
@@ -149,7 +223,10 @@ class Scanner:
         found: dict[int, set[int]] = {}
         for known, settings in ((self.known, self.settings), (self.short, Settings(self.settings.gram, 1))):
             hashes, places = _fingerprints(ids, settings)
-            hit = np.isin(hashes, known)
+            if not len(known):
+                continue
+            # The index may be much longer than a text: a binary search of each hash.
+            hit = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
             for h, at in zip(hashes[hit], places[hit]):
                 for k, offset in self.index[int(h)]:
                     found.setdefault(k, set()).add(int(at) - offset)
@@ -168,9 +245,12 @@ class Scanner:
             for start in sorted(begun):
                 if start < done:
                     continue
-                n, first, last = align(template, ids, start, min(self.settings.band, len(template) // 4))
-                if n >= self.settings.coverage * len(template):
-                    found.append((first, -last, -n / len(template), k))
+                band, least = min(self.settings.band, len(template) // 4), self.settings.coverage * len(template)
+                if most_aligned(template, ids, start, band) < least:
+                    continue
+                n, first, last = align(template, ids, start, band)
+                if n >= least:
+                    found.append((first, -last, -n / len(template), -n, k))
                     done = last
         if not found:
             return [], len(words)
@@ -178,8 +258,8 @@ class Scanner:
         if len(places) != len(words):  # lower-casing has split or joined words: places in the lower-cased text
             places = [m.span() for m in _WORD.finditer(lowered)]
         out, reach = [], -1
-        for first, last, coverage, k in sorted(found):
-            if -last <= reach:  # inside a longer region, or the same one at less coverage
+        for first, last, coverage, _, k in sorted(found):
+            if -last <= reach:  # inside a longer region, or the same one at less coverage or by fewer words
                 continue
             reach = -last
             out.append({"license": self.names[k], "coverage": -coverage, "first": places[first][0],

@@ -75,3 +75,37 @@ def test_odd_rows(spark):
     assert len(by[20]["licenses"]) == 300 and [x["license"] for x in by[21]["licenses"]] == ["all-rights-reserved"]
     assert by[1]["licenses"] == [] and by[1]["n_words"] == 0
     assert licenses.scan(documents(spark, [])).collect() == []
+
+
+def test_every_license_line_of_the_documents_is_found(spark):
+    """Lines are searched by their wording, not by the templates."""
+    import re
+    larger = SMALL.replace("0.001", "0.01")
+    wording = re.compile(r"(?:licensed|released|distributed|dedicated)[^\n]{0,40} under [^\n]*?(?:\.(?=\s|$)|$)|all rights reserved", re.I | re.M)
+    rows = {r["doc_id"]: r["licenses"] for r in op6_license_scan(spark, larger).collect()}
+    seen = set()
+    for r in table(spark, larger, "documents").collect():
+        for m in wording.finditer(r["text"] or ""):
+            seen.add(m.group().lower())
+            assert any(x["first"] < m.end() and m.start() < x["last"] for x in rows[r["doc_id"]]), m.group()
+    assert len(seen) >= 5
+
+
+def test_close_licenses_are_told_apart(spark):
+    lines = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0-short-notice", "Licensed under CC BY 4.0.": "CC-BY-4.0-short-notice",
+        "licensed under CC BY-NC-SA 3.0": "CC-BY-NC-SA-3.0-short-notice", "Licensed under CC0 1.0.": "CC0-1.0-short-notice",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0-notice",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0-notice",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0-notice",
+        licenses.TEMPLATES["BSD-2-Clause-text"]: "BSD-2-Clause-text", licenses.TEMPLATES["MIT-text"]: "MIT-text"}
+    result = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents(
+        spark, [(k, f"some words\n{x}\nand more") for k, x in enumerate(lines)])).collect()}
+    assert [[x["license"] for x in result[k]] for k in range(len(lines))] == [[n] for n in lines.values()]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=12), st.lists(st.integers(0, 5), max_size=12), st.integers(-6, 12), st.integers(0, 5))
+def test_bound_is_never_below_the_alignment(a, b, start, band):
+    a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+    assert licenses.most_aligned(a, b, start, band) >= licenses.align(a, b, start, band)[0]
