@@ -4,7 +4,9 @@ Overlapping documents are found through shared rare lines: each holder of a line
 is paired with all earlier ones. Lines that more documents have would make too many pairs; their
 holders are paired with the earliest alone, one pair per line and document, however many share it.
 A pair that shares enough words is aligned by patience diff, and the aligned common blocks go
-from the later document. Documents are ordered by doc_id, nulls last.
+from the later document. What these pairs miss is found exactly: every shortest run of neighbouring
+lines that has enough words is a key, and goes from all its holders but the earliest. Documents are ordered by doc_id,
+nulls last.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -96,6 +99,55 @@ def common_blocks(earlier: list[dict], later: list[dict], min_words: int) -> lis
     return out + (run if words >= min_words else [])
 
 
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+
+
+def shortest_runs(doc: np.ndarray, i: np.ndarray, h: np.ndarray, w: np.ndarray, min_words: int):
+    """Runs of lines with neighbouring numbers ``i`` in one document that have ``min_words`` words but
+    would not without their last line, or without their first: places of their first and last line, and a 64-bit key.
+
+    The lines are sorted by ``doc`` and ``i``. Every line of a longer run lies in one of these inside it: in the one
+    that ends there, or, near the run's begin, in the one that begins with the run.
+    """
+    n = len(i)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    part = np.cumsum(np.concatenate([[0], ((doc[1:] != doc[:-1]) | (i[1:] != i[:-1] + 1)).astype(np.int64)]))
+    total = np.concatenate([[0], np.cumsum(w, dtype=np.int64)])
+    at = np.arange(n)
+    ends = np.searchsorted(total, total[:-1] + min_words) - 1  # the least line up to which there are enough
+    begins = np.searchsorted(total, total[1:] - min_words, "right") - 1  # the last one from which there are
+    forward, backward = (ends < n), (begins >= 0)
+    first = np.concatenate([at[forward], begins[backward]])
+    last = np.concatenate([ends[forward], at[backward]])
+    same = part[first] == part[last]
+    found = np.unique(np.stack([first[same], last[same]], axis=1), axis=0)
+    first, last = found[:, 0], found[:, 1]
+    # A polynomial of the lines' hashes, by prefix sums, with the place in the batch divided out.
+    power = np.full(n, _BASE, np.uint64)
+    power[0] = 1
+    back = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+    back[0] = 1
+    power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h.astype(np.int64).view(np.uint64) * power, dtype=np.uint64)])
+    return first, last, ((sums[last + 1] - sums[first]) * back[first]).view(np.int64)
+
+
+def _run_rows(sequences: DataFrame, min_words: int) -> DataFrame:
+    """``at, key, i, j`` of the shortest runs of ``at, seq`` rows: a key, and the numbers of its first and last line."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            lines, sizes = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(batch.num_rows), sizes)
+            i, h, w = (lines.field(c).to_numpy(zero_copy_only=False) for c in ("i", "h", "w"))
+            first, last, key = shortest_runs(doc, i, h, w, min_words)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[first])), pa.array(key), pa.array(i[first], pa.int32()),
+                                              pa.array(i[last], pa.int32())], ["at", "key", "i", "j"])
+
+    return in_arrow(sequences.select("at", "seq"), run, f"at {sequences.schema['at'].dataType.simpleString()}, key long, i int, j int")
+
+
 def _numbered(text):
     """Lines with words, and all lines."""
     return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -126,10 +178,15 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
              .where(F.col("words") >= min_words).select(F.col("at.node").alias("node"), F.col("owner.node").alias("earlier"),
                                                       F.when(~F.col("owner.last"), F.col("owner.doc_id")).alias("source")))
     pairs = kept(pairs, "pairs")
-    wanted = pairs.select("node").unionByName(pairs.select(F.col("earlier").alias("node"))).distinct()
     # A repeated row has the same node, and so the same lines: once each.
-    sequences = kept(shared.join(wanted, "node", "left_semi").groupBy("node").agg(
-        F.sort_array(F.collect_set(F.struct("i", "h", "w"))).alias("seq")), "sequences")
+    sequences = shared.groupBy("at").agg(F.sort_array(F.collect_set(F.struct("i", "h", "w"))).alias("seq"))
+    sequences = kept(sequences.where(F.aggregate("seq", F.lit(0), lambda a, x: a + x["w"]) >= min_words)
+                     .select(F.col("at.node").alias("node"), "at", "seq"), "sequences")
+    runs = kept(_run_rows(sequences, min_words), "runs")
+    earliest = runs.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first")
+    repeats = runs.join(earliest, "key").where("at > first").select(
+        F.col("at.node").alias("node"), F.when(~F.col("first.last"), F.col("first.doc_id")).alias("source"),
+        F.sequence("i", "j").alias("gone"))
     both = (pairs.join(sequences.select("node", F.col("seq").alias("later_seq")), "node")
             .join(sequences.select(F.col("node").alias("earlier"), F.col("seq").alias("earlier_seq")), "earlier")
             .select("node", "source", "earlier_seq", "later_seq"))
@@ -146,7 +203,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     gone.append(found)
             yield pa.RecordBatch.from_pydict({"node": nodes, "source": sources, "gone": gone}, schema=schema)
 
-    found = in_arrow(both, align, "node string, source long, gone array<int>")
+    found = in_arrow(both, align, "node string, source long, gone array<int>").unionByName(repeats)
     return found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
                                      F.sort_array(F.collect_set("source")).alias("sources"))
 

@@ -126,3 +126,51 @@ def test_unique_lines_are_fully_aligned():
     a = draw.sample(range(1000), 200)
     b = sorted(draw.sample(range(200), 120))
     assert linededup.patience(a, [a[k] for k in b]) == [(k, j) for j, k in enumerate(b)]
+
+
+def all_pairs(rows, min_words=linededup.MIN_WORDS):
+    """Numbers of the lines, by id, that lie in a run of ``min_words`` shared with any earlier document: no line is rare or common."""
+    lines = {k: [(x, len(WORD.findall(x))) for x in (t or "").split("\n") if WORD.search(x)] for k, t in rows}
+    places, out = {}, {}
+    for k in sorted(lines):
+        own, gone = lines[k], set()
+        meets = {(m, j - i) for i, (x, _) in enumerate(own) for m, j in places.get(x, ())}
+        for m, shift in meets:
+            run, words = [], 0
+            for i in range(len(own) + 1):
+                if i < len(own) and 0 <= i + shift < len(lines[m]) and lines[m][i + shift][0] == own[i][0]:
+                    run, words = [*run, i], words + own[i][1]
+                    continue
+                gone.update(run if words >= min_words else [])
+                run, words = [], 0
+        for j, (x, _) in enumerate(own):
+            places.setdefault(x, []).append((k, j))
+        out[k] = gone
+    return out
+
+
+def test_a_passage_of_common_lines_that_began_elsewhere(spark):
+    pieces = [" ".join(f"q{j}w{i}" for i in range(8)) for j in range(5)]
+    rows = [*((k, pieces[k]) for k in range(5)), *((k, f"own {k}\n" + "\n".join(pieces)) for k in range(10, 17))]
+    frame = linededup.dedup_lines(documents(spark, rows))
+    state = {r["doc_id"]: r[frame.columns[-1]] for r in frame.collect()}
+    assert all(state[k]["n_gone"] == 5 and state[k]["sources"] == [10] for k in range(11, 17))
+    assert all(state[k]["n_gone"] == 0 for k in (0, 1, 2, 3, 4, 10))
+
+
+def test_common_and_rare_lines_against_all_pairs(spark):
+    draw = random.Random(8)
+    line = lambda: " ".join(f"z{draw.randrange(3)}" if k == 0 else f"y{k}" for k in range(draw.choice((3, 7, 12))))
+    rows = [(k, "\n".join(line() for _ in range(draw.randrange(14)))) for k in range(60)]
+    gone = {int(r["node"].split(":")[0]): set(r["gone"]) for r in linededup.deletions(documents(spark, rows)).collect()}
+    expected = {k: v for k, v in all_pairs(rows).items() if v}
+    assert len(expected) > 20 and gone == expected
+
+
+def test_query_equals_all_pairs(spark):
+    larger = SMALL.replace("0.001", "0.01")
+    docs = table(spark, larger, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert len({k for k, _ in rows}) == len(rows)
+    gone = {int(r["node"].split(":")[0]): set(r["gone"]) for r in linededup.deletions(docs).collect()}
+    assert gone == {k: v for k, v in all_pairs(rows).items() if v}
