@@ -27,7 +27,6 @@ COMMON_WORDS = {
     "fr": ("le", "la", "de", "et", "les", "des", "en", "un", "une", "du", "que", "est", "dans", "qui", "pour", "au",
            "sur", "pas", "par", "il"),
 }
-POOLED = "*"  # the reference of languages without a list: character classes of all documents
 
 
 @dataclass(frozen=True)
@@ -47,6 +46,7 @@ class Rules:
     class_slack: float = 2.0
     max_common_distance: float = 0.13
     common_slack: float = 1.7
+    min_documents: int = 10  # a language with fewer that pass the base rules has no reference
 
 
 def _without(text: Column, pattern: str) -> Column:
@@ -141,37 +141,30 @@ def _share(counts: Column) -> Column:
 
 
 def references(counted: DataFrame, name: str, rules: Rules = Rules()) -> dict[str, dict[str, list[float]]]:
-    """Mean shares per listed language over all its documents that pass the base rules, and pooled over all.
+    """Mean shares per value of ``lang`` over all its documents that pass the base rules.
 
-    At most one row per listed language comes to the driver. A reference is empty without documents.
+    One row per language with enough of these comes to the driver. ``common`` is empty for languages without a list.
     """
     q = F.col(name)
-    sound = counted.where(~base_failed(q, rules)).select(
-        F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise(F.lit(POOLED)).alias("lang"),
-        _share(q["classes"]).alias("classes"), _share(q["common"]).alias("common"))
+    sound = counted.where(~base_failed(q, rules) & F.col("lang").isNotNull()).select(
+        "lang", _share(q["classes"]).alias("classes"), _share(q["common"]).alias("common"))
     longest = 1 + max(map(len, COMMON_WORDS.values()))
     sums = sound.groupBy("lang").agg(
         F.count("*").alias("n"), *(F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(7)),
-        *(F.sum(F.get("common", F.lit(k))).alias(f"w{k}") for k in range(longest))).collect()
-    out, pooled, n_all = {}, [0.0] * 7, 0
-    for r in sums:
-        own = [r[f"c{k}"] for k in range(7)]
-        pooled, n_all = [a + b for a, b in zip(pooled, own)], n_all + r["n"]
-        if r["lang"] != POOLED:
-            out[r["lang"]] = {"classes": [x / r["n"] for x in own],
-                              "common": [r[f"w{k}"] / r["n"] for k in range(1 + len(COMMON_WORDS[r["lang"]]))]}
-    if n_all:
-        out[POOLED] = {"classes": [x / n_all for x in pooled], "common": []}
-    return out
-
-
-def js_distance(counts: Column, reference: list[float]) -> Column:
+        *(F.sum(F.get("common", F.lit(k))).alias(f"w{k}") for k in range(longest))).where(
+        F.col("n") >= rules.min_documents).collect()
+    return {r["lang"]: {"classes": [r[f"c{k}"] / r["n"] for k in range(7)],
+                        "common": [r[f"w{k}"] / r["n"] for k in range(1 + len(COMMON_WORDS[r["lang"]]))] if r["lang"] in COMMON_WORDS else []}
+            for r in sums}
+
+
+def js_distance(counts: Column, reference: list[float] | list[Column]) -> Column:
     """Square root of the base-2 Jensen-Shannon divergence of the counts' shares from ``reference``."""
     def of(p: Column) -> Column:
         half = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
         total = F.lit(0.0)
         for k, r in enumerate(reference):
-            x, y = p[k], F.lit(float(r))
+            x, y = p[k], r if isinstance(r, Column) else F.lit(float(r))
             total = total + half(x, y) + half(y, x)
         return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
     return bound(_share(counts), of)
@@ -187,18 +180,22 @@ def judged(docs: DataFrame, rules: Rules = Rules(), columns: list[str] | None =
 
     Needs ``text`` and ``lang``. Returns the frame and the struct's name. ``base_failed``: too
     few words, or too many in repeated windows. ``kept`` is false for those, and where a distance exceeds its limit;
-    a distance is null, and objects to nothing, below its minimum length, without a
-    reference, or, for common words, in a language without a list. Null texts are empty, so they fail;
-    a null or unlisted language meets the pooled class reference. Repeated rows are judged alike. An empty table gives none.
+    a distance is null, and objects to nothing, below its minimum length, in a null language or one that has too few documents for a
+    reference, or, for common words, in a language without a list. Null texts are empty, so they fail.
+    Every other language meets its own class reference. Repeated rows are judged alike. An empty table gives none.
     """
     counted = features(docs, rules)
     name = counted.columns[-1]
     counted = kept(counted.select(*(f"`{c}`" for c in dict.fromkeys([*(columns or docs.columns), "lang", name]))), "quality")
     known = references(counted, name, rules)
     q, by_class, by_word = F.col(name), F.lit(None).cast("double"), F.lit(None).cast("double")
-    if POOLED in known:
-        by_class = js_distance(q["classes"], known[POOLED]["classes"])
-    for lang in sorted(known.keys() - {POOLED}):
+    unlisted = sorted(known.keys() - COMMON_WORDS.keys())
+    if unlisted:
+        own = F.create_map(*(c for lang in unlisted for c in (
+            F.lit(lang), F.array(*(F.lit(float(x)) for x in known[lang]["classes"])))))
+        by_class = bound(F.try_element_at(own, F.col("lang")), lambda r: F.when(
+            r.isNotNull(), js_distance(q["classes"], [r[k] for k in range(7)])))
+    for lang in sorted(known.keys() & COMMON_WORDS.keys()):
         by_class = F.when(F.col("lang") == lang, js_distance(q["classes"], known[lang]["classes"])).otherwise(by_class)
         by_word = F.when(F.col("lang") == lang, js_distance(q["common"], known[lang]["common"])).otherwise(by_word)
     n_chars = F.aggregate(q["classes"], F.lit(0.0), lambda a, x: a + x)

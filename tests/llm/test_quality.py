@@ -94,3 +94,15 @@ def test_no_python_in_the_plan(spark):
     frame, _ = quality.judged(table(spark, SMALL, "documents"))
     plan = frame._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_each_language_meets_its_own_reference(spark):
+    """Clean texts of another script stay in a mostly Latin corpus, junk of that language goes; few or no labels object to nothing."""
+    latin = [(k, " ".join(f"word{'abcdefghij'[j % 10]}{chr(97 + (k * 7 + j) % 26)}{chr(97 + j // 3 % 26)}" for j in range(80)), "en") for k in range(60)]
+    other = lambda k: " ".join("".join(chr(0x4E00 + (k * 131 + j * 17 + i * 7) % 4000) for i in range(4)) for j in range(80))
+    rows = [*latin, *((100 + k, other(k), "zh") for k in range(15)), *((200 + k, other(50 + k), "xx") for k in range(3)), (300, other(70), None),
+            (400, " ".join(f"{k * 7919 % 100003}" for k in range(200)), "zh")]
+    frame, name = quality.judged(documents(spark, rows))
+    got = {r["doc_id"]: r[name] for r in frame.collect()}
+    assert [k for k in got if not got[k]["kept"] and k >= 100] == [400]
+    assert got[100]["class_distance"] is not None and got[200]["class_distance"] is None and got[300]["class_distance"] is None
