@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterloom.llm import (
-    chat, decontamination, langid, licenses, linededup, packing, pii, quality, secrets, simhash, spelling, sql)
+    chat, decontamination, langid, licenses, linededup, merkle, packing, pii, quality, secrets, simhash, spelling, sql)
 from rosterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,10 +91,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_language_id, op3_secret_scan, op4_line_dedup, op5_quality_rules, op6_license_scan,
-        op7_simhash, op8_pii_surrogates, op9_chat_windows, op10_decontamination, op11_spelling_variants)}
+        op7_simhash, op8_pii_surrogates, op9_chat_windows, op10_decontamination, op11_spelling_variants, op12_merkle_manifest)}
 
 
 def llm_sql() -> dict[str, str]:
