@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterloom.llm import (
-    chat, decontamination, langid, licenses, linededup, merkle, packing, pii, quality, secrets, simhash, spelling, sql)
+    chat, decontamination, langid, licenses, linededup, merkle, mixture, packing, pii, quality, secrets, simhash, spelling, sql)
 from rosterloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,10 +96,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
 
 
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.pack(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_language_id, op3_secret_scan, op4_line_dedup, op5_quality_rules, op6_license_scan,
-        op7_simhash, op8_pii_surrogates, op9_chat_windows, op10_decontamination, op11_spelling_variants, op12_merkle_manifest)}
+        op7_simhash, op8_pii_surrogates, op9_chat_windows, op10_decontamination, op11_spelling_variants, op12_merkle_manifest, op13_mixture_packing)}
 
 
 def llm_sql() -> dict[str, str]:
