@@ -110,4 +110,4 @@ def llm_sql() -> dict[str, str]:
     """Tokens, fingerprints, models, alignments and keyed surrogates are beyond SQL: their
     queries are tested against brute force, round trips and held-out accuracy."""
     return {"op3_secret_scan": sql.OP3, "op5_quality_rules": sql.OP5, "op9_chat_windows": sql.OP9,
-            "op10_decontamination": sql.OP10}
+            "op10_decontamination": sql.OP10, "op11_spelling_variants": sql.OP11, "op12_merkle_manifest": sql.OP12}

