@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
+import zlib
 from collections.abc import Mapping
 from functools import lru_cache
 
@@ -34,28 +36,54 @@ _CUTS = "row long, start long, length long, sequence_id long, offset long"
 _CUTS_ARROW = pa.schema([(c, pa.int64()) for c in ("row", "start", "length", "sequence_id", "offset")])
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: itself if printable, else the next above 255."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
 class _Words(dict):
     """Little-endian ids by space-separated part; the tokenizer drops white space and never joins over it.
 
-    Bounded in bytes, also within one text.
+    Parts of plain letters, digits and signs are split by the tokenizer's own rule and encoded by tiktoken from
+    the same vocabulary, where a zero byte stands for the end of a word: several times faster than, and tested equal to,
+    the tokenizers file, which encodes all other parts. Bounded in bytes, also within one text.
     """
 
-    LIMIT = 48_000_000
-    _ends = re.compile(r"(.*[A-Za-z])([.,;:!?]+)", re.DOTALL).fullmatch
+    LIMIT = 64_000_000
+    END = "</w>"
+    _plain = re.compile("[!-~À-ÿ]+").fullmatch
+    # The tokenizer's fixed splitting rule, for the lower-cased characters of a plain part.
+    _pieces = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kind: str):
+        import tiktoken
         from tokenizers import Tokenizer
         super().__init__()
         self._full = Tokenizer.from_file(path)
+        special, byte = {t.content for t in self._full.get_added_tokens_decoder().values()}, _byte_of()
+        ranks = {}
+        for word, number in self._full.get_vocab(with_added_tokens=False).items():
+            if word not in special:
+                whole = word.removesuffix(self.END)
+                ranks[bytes(byte[c] for c in whole) + (b"\0" if word != whole else b"")] = number
+        self._fast = tiktoken.Encoding("ranks", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        self._code = {"<u2": "H", "<u4": "I"}[kind]
         self._bytes = 0
 
+    def encode(self, part: str) -> list[int]:
+        if self._plain(part) and "<|" not in part:
+            return self._fast.encode_ordinary("\0".join(self._pieces(part.lower())) + "\0")
+        return self._full.encode(part, add_special_tokens=False).ids
+
     def __missing__(self, part: str) -> bytes:
-        ends = self._ends(part)
-        if ends and "<|" not in part:
-            value = self[ends[1]] + self[ends[2]]
+        if part[-1] in ".,;:!?" and part[-2:-1].isalpha() and self._plain(part) and "<|" not in part:
+            value = self[part[:-1]] + self[part[-1]]
         else:
-            value = np.array(self._full.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        self._bytes += 160 + 4 * len(part) + len(value)
+            ids = self.encode(part)
+            value = struct.pack(f"<{len(ids)}{self._code}", *ids)
+        self._bytes += 140 + len(part) + len(value)
         if self._bytes > self.LIMIT:
             self.clear()
             self._bytes = 0
@@ -67,9 +95,16 @@ class _Words(dict):
         return b"".join([self[p] for p in text.replace("\n", " ").split(" ") if p])
 
 
+@lru_cache(2)
+def id_type(path: str) -> str:
+    """Two bytes an id where the vocabulary allows it, else four."""
+    from tokenizers import Tokenizer
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 @lru_cache(1)
-def _words(path: str) -> _Words:
-    return _Words(path)
+def _words(path: str, kind: str) -> _Words:
+    return _Words(path, kind)
 
 
 def tokenizer_file() -> str:
@@ -81,18 +116,19 @@ def tokenizer_file() -> str:
 def tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """``row, doc_id, source, doc_tokens, ids``: every text's ids and the end id, with a number per row.
 
-    Ids are unsigned 32-bit little-endian. A null or empty text is the end id alone. ``source`` is empty for null, else ``=`` and
+    Ids are unsigned little-endian numbers of ``id_type``. A null or empty text is the end id alone. ``source`` is empty for null, else ``=`` and
     the source. The row's number is only fixed once the frame is written.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    kind = id_type(tokenizer)
+    end, width = np.array([end_id], kind).tobytes(), int(kind[-1])
 
     def encode(batches):
-        words = _words(tokenizer)
+        words = _words(tokenizer, kind)
         for batch in batches:
             rows, size = [], 0
             for row, key, source, text in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
                 ids = words.text(text.as_py() or "") + end
-                rows.append((row, key, source, len(ids) // 4, ids))
+                rows.append((row, key, source, len(ids) // width, ids))
                 size += len(ids)
                 if size > 8_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
@@ -256,10 +292,23 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, target
     each for itself, ties in a queue fall by row, a long text is cut over as many sequences as it takes, other columns are not
     read, and an empty table gives an empty result. The order of pieces may differ from run to run.
     """
-    found = kept(tokens(docs, tokenizer or tokenizer_file(), end_id), "tokens")
+    tokenizer = tokenizer or tokenizer_file()
+    kind = id_type(tokenizer)
+    found = kept(tokens(docs, tokenizer, end_id), "tokens")
     queued = kept(queues(found.drop("ids", "doc_id"), targets), "queues")
     placed = schedule(queued, capacity)
-    ids = F.substring("ids", (4 * F.col("start") + 1).cast("int"), (4 * F.col("length")).cast("int"))
-    return found.join(placed, "row").select(
+    width = int(kind[-1])
+    own = F.substring("ids", (width * F.col("start") + 1).cast("int"), (width * F.col("length")).cast("int"))
+    names = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    rows = found.join(placed, "row").select(
         "doc_id", F.when(F.col("source") != "", F.expr("substring(source, 2)")).alias("source"), "start", "length",
-        F.crc32(ids).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+        own.alias("ids"), "doc_tokens", "sequence_id", "offset")
+
+    def sums(batches):
+        for batch in batches:
+            codes = [zlib.crc32(np.frombuffer(x, kind).astype("<u4")) for x in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes, pa.int64()) if k == 4 else batch.column(k) for k in range(8)], names)
+
+    return in_arrow(rows, sums, "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, "
+                                "sequence_id long, offset long")

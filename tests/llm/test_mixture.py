@@ -135,7 +135,20 @@ def test_one_partition_serves_all_in_order(pieces, before):
 
 
 def test_word_cache_keeps_its_bound_within_one_text():
-    words = mixture._Words(mixture.tokenizer_file())
+    words = mixture._Words(mixture.tokenizer_file(), "<u2")
     words.LIMIT = 100_000
     words.text(" ".join(f"w{k}x" for k in range(20_000)))
     assert words._bytes <= 100_000 and len(words) < 1000
+
+
+def test_fast_ids_equal_the_tokenizers_file():
+    import random
+    words, draw = mixture._Words(mixture.tokenizer_file(), "<u2"), random.Random(9)
+    letters = "etaoinshrdlu" * 3 + "bcfgjkmpqvwxyz" + "ABCDEFGH'" + "éüßÀÖøÿ×÷" + "0123456789.,;:!?#$%&*()[]{}<>|_-+=/\\\"'~^`@"
+    parts = {"".join(draw.choices(letters[:n], k=draw.randint(1, 14))) for n in (36, 50, 59, 68, len(letters)) for _ in range(15_000)}
+    parts |= {w for w in "don't IT'S we'll I'd''s 'Sx 's's a'b'rex 12ab34 x<|y ÀÉ'RE".split()} | set(words._full.get_vocab())
+    for part in parts:
+        if not any(c.isspace() for c in part):
+            wanted = words._full.encode(part, add_special_tokens=False).ids
+            assert words.encode(part) == wanted, part
+            assert np.frombuffer(words[part], "<u2").tolist() == wanted, part
