@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
-def in_arrow(frame: DataFrame, run, schema: str) -> DataFrame:
+def in_arrow(frame: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` by workers that have this package."""
     ship(frame.sparkSession)
     return frame.mapInArrow(run, schema)

@@ -15,9 +15,9 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rosterloom.llm.common import in_arrow, kept, texts
 
@@ -39,7 +39,7 @@ class _Encoder(dict):
     the tokenizers file, which still encodes whatever holds one of its special strings.
     """
 
-    LIMIT = 300_000
+    LIMIT = 64_000_000  # bytes, also within one text
     _odd = re.compile(r" \s").search
     _spaces = re.compile(r" (?=\S)").split
 
@@ -53,6 +53,7 @@ class _Encoder(dict):
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges,
                                        special_tokens={})
+        self._bytes = 0
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self._special):
@@ -67,12 +68,15 @@ class _Encoder(dict):
             value = self[base] + self.encode(word[len(base):])
         else:
             value = self.encode(" " + word)
-        self[word] = value
+        self._bytes += 140 + len(word) + len(value)
+        if self._bytes > self.LIMIT:
+            self.clear()
+            self._bytes = 0
+        if len(word) < 100:
+            self[word] = value
         return value
 
     def text(self, text: str) -> bytes:
-        if len(self) > self.LIMIT:
-            self.clear()
         lines = text.split("\n")
         if self._odd(text) or any(s in text for s in self._special):
             first, *rest = self._spaces(text)
@@ -266,17 +270,22 @@ def place(parts: DataFrame, capacity: int = CAPACITY, rounds: int = 150) -> Data
         sequence += times
     slots_of = {n: np.array(s) for n, s in slots.items()}
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        n, r = length.to_numpy(), rank.to_numpy()
-        out = np.empty((len(n), 2), np.int64)
-        for one in np.unique(n):
-            at, known = n == one, slots_of[one]
-            row = known[np.searchsorted(known[:, 0], r[at], "right") - 1]
-            k = r[at] - row[:, 0]
+    def placed(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        out = np.empty((len(length), 2), np.int64)
+        for one in np.unique(length):
+            at, known = length == one, slots_of[one]
+            row = known[np.searchsorted(known[:, 0], rank[at], "right") - 1]
+            k = rank[at] - row[:, 0]
             out[at, 0] = row[:, 1] + k // row[:, 2]
             out[at, 1] = row[:, 3] + k % row[:, 2] * one
-        return pd.DataFrame(out, columns=["sequence_id", "offset"])
+        return out
+
+    def with_places(batches):
+        for batch in batches:
+            *columns, rank = batch.columns
+            found = placed(columns[names.index("length")].to_numpy(), rank.to_numpy())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found[:, 0]), pa.array(found[:, 1])],
+                                             [*names, "sequence_id", "offset"])
 
     buckets = max(1, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = parts.columns
@@ -286,9 +295,10 @@ def place(parts: DataFrame, capacity: int = CAPACITY, rounds: int = 150) -> Data
                   Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).drop("_n"))
     order = Window.partitionBy("length", "_bucket").orderBy(*names)
     ranked = (keyed.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
-              .join(before, ["length", "_bucket"])
-              .withColumn("_at", placed("length", F.col("_rank") + F.col("_before"))))
-    return ranked.select(*names, "_at.sequence_id", "_at.offset")
+              .join(before, ["length", "_bucket"]).select(*names, (F.col("_rank") + F.col("_before")).alias("_rank")))
+    # Through the same kind of worker as the pass before: idle workers of another kind would hold memory beside it.
+    return in_arrow(ranked, with_places, StructType([
+        *parts.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 
 def tokenizer_files() -> tuple[str, str, str]:

@@ -98,3 +98,10 @@ def test_hot_length_is_spread_over_buckets(spark):
     rows = packing.place(parts).collect()
     assert len(rows) == 5000
     check_places(rows)
+
+
+def test_word_cache_keeps_its_bound_within_one_text():
+    words = packing._Encoder(*packing.tokenizer_files())
+    words.LIMIT = 100_000
+    words.text(" ".join(f"w{k}x" for k in range(20_000)))
+    assert words._bytes <= 100_000 and len(words) < 1000
