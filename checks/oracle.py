@@ -89,6 +89,7 @@ def _imported(where: str = "") -> str:
   CAST(user_id % 5 AS BIGINT) AS "Corp_ID" FROM events {where}"""
 
 
+_RECENT_TWICE = f"WHERE ts >= {ACTIVITY_AS_OF} - INTERVAL 60 DAY"
 _RECENT = f"WHERE ts >= {ACTIVITY_AS_OF} - INTERVAL 30 DAY"
 _ARREARS = "(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) // 1000)"
 _BENEFITS = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"
@@ -107,6 +108,7 @@ _QUERIES: dict[str, str] = {
     "a1_import_table": _imported(),
     "a1_import_window": _imported(_RECENT),
     "a2_recent_window": _imported(_RECENT),
+    "a2_window_history": _imported(_RECENT_TWICE),
     "a3_clean_columns": f"""SELECT CASE WHEN l_orderkey % 173 <> 0 THEN 'E' || o_custkey END AS "Employee_ID",
   CAST(o_custkey AS VARCHAR) AS "emp_Int_id", ' ' || {fname('o_custkey')} AS "First_Name", {lname('o_custkey')} AS "Last_Name",
   CASE WHEN l_partkey % 251 <> 0 THEN p_type END AS "Benefit_Plan_Type", p_brand || ' ' AS "Benefit_Plan_Name",
@@ -147,6 +149,8 @@ UNION ALL SELECT 'tppd_dept', count(*), 'success' FROM nation""",
   SELECT unnest(['Current Arrears', 'Total Arrears', 'No of PP', 'arrears_assigned_yn', 'Age', 'Corp_Id']) AS c,
     unnest([0, count(*) FILTER (l_linenumber = 6), 0, count(*) FILTER (l_linenumber = 5), count(*) FILTER (l_linenumber = 7), 0]) AS n
   FROM {_BENEFITS})""",
+    "a9_incremental_daily": rows("m_daily", texts="attendance_date"),
+    "a9_incremental_periods": rows("m_period", doubles=_PERIOD_SUMS),
     "a9_materialized_window": rows("m_daily", texts="attendance_date", tail=f"WHERE m_daily.{_WINDOW}"),
     "b6_stg_payroll_from_text": """SELECT * REPLACE (CASE WHEN num_pay_periods <> 7 THEN age END AS age,
   CASE WHEN num_pay_periods <> 6 THEN CAST(total_arrears AS DOUBLE) END AS total_arrears, CAST(current_arrears AS DOUBLE) AS current_arrears,
@@ -174,6 +178,8 @@ UNION ALL SELECT 'tppd_dept', count(*), 'success' FROM nation""",
   CAST(hours AS DOUBLE) AS hours, CAST(rate AS DOUBLE) AS rate, earning_code, earning_number, job_code,
   dept_id, shift_diff_flag, source_table FROM s_wk""",
     "c2_daily_attendance_detail": rows("b_daily", texts="attendance_date"),
+    "c2_daily_attendance_bucketed": rows("b_daily", texts="attendance_date"),
+    "c2_daily_attendance_split": rows("b_daily", texts="attendance_date"),
     "c3_employee_summary": rows("b_emp", doubles="total_current_arrears total_arrears"),
     "c4_payroll_analytics": rows(
         "b_pay", doubles="gross_pay net_pay gross_pay_ytd deductions deductions_ytd employee_taxes "
@@ -477,12 +483,13 @@ _QUERIES.update({
 
 # Whole numbers and flags that hold nulls, compared as text.
 _HOLD_NULLS: dict[str, str] = {
-    "a1_import_table": "Activity_Id", "a1_import_window": "Activity_Id", "a2_recent_window": "Activity_Id",
+    "a1_import_table": "Activity_Id", "a1_import_window": "Activity_Id", "a2_recent_window": "Activity_Id", "a2_window_history": "Activity_Id",
     "a3_clean_columns": "arrears_assigned_yn Age",
     "b2_stg_attendance": "shift_diff_flag",
     "b3_stg_daily_attendance": "attendance_id attendance_status_id employee_int_id",
     "b6_stg_payroll": "age arrears_assigned", "b6_stg_payroll_from_text": "age arrears_assigned", "b7_stg_payroll_main": "payroll_work_id",
     "c1_attendance_detail": "shift_diff_flag", "c2_daily_attendance_detail": "attendance_id employee_int_id",
+    "c2_daily_attendance_bucketed": "attendance_id employee_int_id", "c2_daily_attendance_split": "attendance_id employee_int_id",
     "c4_payroll_analytics": "payroll_work_id", "c5_payroll_detail": "age arrears_assigned",
     "c8_workforce_demographics": "age tenure_years", "e12_employee_details": "tenure_years",
     "e12_employee_details_filtered": "tenure_years", "h3_clinical_staff": "tenure_years",

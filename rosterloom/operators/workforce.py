@@ -74,6 +74,43 @@ def join_workforce(facts: DataFrame, dimension: DataFrame,
     return joined.withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long")))
 
 
+def join_bucketed(facts: DataFrame, dimension: DataFrame) -> DataFrame:
+    """:func:`join_workforce` over tables that are bucketed by the employee into equal buckets: no shuffle.
+
+    Facts without an employee lie in one bucket; they match nothing, so they pass by the join.
+    """
+    matched = facts.where(F.col(KEY).isNotNull()).join(dimension, KEY, "left")
+    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in dimension.schema.fields if f.name != KEY]
+    nobody = facts.where(F.col(KEY).isNull()).select("*", *others)
+    return matched.unionByName(nobody).withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long")))
+
+
+def heavy_employees(facts: DataFrame, most: int) -> DataFrame:
+    """``employee_int_id, _salts`` of the employees with over ``most`` facts: at most facts / ``most`` rows.
+
+    One pre-aggregated pass over the key column alone.
+    """
+    counts = facts.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > most).select(KEY, F.ceil(F.col("_n") / F.lit(most)).cast("int").alias("_salts"))
+
+
+def join_split(facts: DataFrame, dimension: DataFrame, deal_by: Sequence[str], most: int = 1_000_000) -> DataFrame:
+    """:func:`join_workforce` that splits employees with over ``most`` facts, without the help of AQE.
+
+    Their facts are dealt over as many salts as it takes to get near ``most`` facts each, by the hash of ``deal_by``, columns that
+    tell facts apart; their few master rows are copied to each salt. ``heavy`` has at most facts / ``most``
+    rows, so it is broadcast by Spark's own measure where that is little. Facts without an employee are dealt out likewise.
+    """
+    heavy = heavy_employees(facts, most)
+    deal = F.xxhash64(*deal_by)
+    dealt = facts.join(heavy, KEY, "left").withColumn("_salt", F.when(F.col(KEY).isNull(), deal).otherwise(
+        F.pmod(deal, F.coalesce("_salts", F.lit(1))))).drop("_salts")
+    copied = dimension.join(heavy, KEY, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))).drop("_salts")
+    joined = dealt.join(copied, [KEY, "_salt"], "left").drop("_salt")
+    return joined.withColumn(COPIES, F.coalesce(COPIES, F.lit(1).cast("long")))
+
+
 def weighted_sum(column: Column | str, weight: str = COPIES) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     return F.sum(column * F.col(weight))

@@ -57,11 +57,18 @@ def attendance_detail(attendance: DataFrame, *, ordered: bool = False) -> DataFr
                    "job_code", "dept_id", "hours", "rate")
 
 
+DETAIL_ATTRIBUTES = ["employee_id", "full_name", "department_name", "department_number", "job_code_name"]
+
+
 def daily_attendance_detail(daily: DataFrame, workforce: DataFrame, *,
                             workforce_grain: Grain = "snapshot") -> DataFrame:
-    people = workforce_dimension(
-        workforce, ["employee_id", "full_name", "department_name", "department_number",
-                    "job_code_name"], workforce_grain)
+    people = workforce_dimension(workforce, DETAIL_ATTRIBUTES, workforce_grain)
+    return daily_attendance_detail_of(join_workforce(
+        daily.where(F.col("attendance_date").isNotNull()), people, ["attendance_id", "attendance_date"]))
+
+
+def daily_attendance_detail_of(joined: DataFrame) -> DataFrame:
+    """The view from dated punches that are joined to their people already."""
     day = F.col("attendance_date")
     in_hours = {"total_hours": "total_duration", "net_hours": "total_net_duration",
                 "pay_hours": "pay_duration", "shift_hours": "shift_work_duration",
@@ -69,8 +76,7 @@ def daily_attendance_detail(daily: DataFrame, workforce: DataFrame, *,
                 "total_break_hours": "total_break_mins", "on_call_hours": "on_call_duration",
                 "call_back_hours": "call_back_duration"}
     converted = {name: hours(F.col(source)).alias(name) for name, source in in_hours.items()}
-    joined = join_workforce(daily.where(day.isNotNull()), people,
-                            ["attendance_id", "attendance_date"]).select(
+    joined = joined.select(
         "attendance_id", "employee_int_id", "employee_id",
         F.col("full_name").alias("employee_name"), "department_name", "department_number",
         "job_code_name", "attendance_date", year_of(day).alias("attendance_year"),

@@ -1,15 +1,16 @@
 """Metrics views: aggregates over staging and business views.
 
-Distinct counts go through ``count(DISTINCT …) FILTER``: rows are grouped by
-(keys, id) first, pre-aggregated map-side, so a department or day holding a
-large share of all rows is spread over its ids before it meets its key.
+Distinct counts of whole-number ids come from bitmap words (:mod:`rosterloom.operators.bitmaps`): rows are grouped
+by (keys, id div 64) first, pre-aggregated map-side, so a department or day holding a large share of all rows is spread
+over its ids before it meets its key, and the groups' states can be stored and merged. Counts of text ids go through
+``count(DISTINCT …) FILTER``, spread by the id in the same way.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rosterloom.functions import (
     ascending,
@@ -28,7 +29,8 @@ from rosterloom.functions import (
     row_count,
     year_of,
 )
-from rosterloom.operators import join_workforce, weighted_sum, workforce_dimension
+from rosterloom.operators import join_workforce, workforce_dimension
+from rosterloom.operators.bitmaps import SLOT, WORD, Measures, bits_of, counted, merged, states
 from rosterloom.operators.workforce import COPIES, Grain
 from rosterloom.plans.bands import AGE_BANDS, TENURE_BANDS
 from rosterloom.plans.business import PAID_WEEKS_PER_YEAR, with_tenure_and_age
@@ -42,27 +44,45 @@ def calculated(frame: DataFrame, calculated_at: dt.datetime | None) -> DataFrame
     return frame.withColumn("calculated_at", moment)
 
 
+DAY_GROUP = ["attendance_date", *DEPARTMENT]
+# Attendance status ids by the count they go into.
+STATUS_COUNTS = {"present_count": 1, "absent_count": 2, "leave_count": 3, "holiday_count": 4, "half_day_count": 5}
+
+
+def attendance_measures() -> Measures:
+    """What a day and department keeps: distinct punches by kind, people, and minutes."""
+    minutes = {"total_late_minutes": "late_by_mins", "total_minutes": "total_duration",
+               "pay_minutes": "pay_duration", "ot_minutes": "ot_duration",
+               "break_minutes": "total_break_mins", "on_call_minutes": "on_call_duration"}
+    return Measures(
+        counts={"total_records": ("attendance_id", None),
+                **{name: ("attendance_id", f"attendance_status_id = {status}") for name, status in STATUS_COUNTS.items()},
+                "late_count": ("attendance_id", "is_late"), "early_leave_count": ("attendance_id", "is_early_leave"),
+                "unique_employees": ("employee_int_id", None)},
+        sums={name: F.col(column) * F.col(COPIES) for name, column in minutes.items()})
+
+
+def attendance_states(daily: DataFrame, workforce: DataFrame, workforce_grain: Grain = "snapshot") -> DataFrame:
+    """Mergeable states per day and department."""
+    joined = join_workforce(daily.where(F.col("attendance_date").isNotNull()),
+                            workforce_dimension(workforce, DEPARTMENT, workforce_grain),
+                            ["attendance_date", "total_duration", "total_break_mins"])
+    return states(joined, DAY_GROUP, attendance_measures())
+
+
 def attendance_daily_metrics(daily: DataFrame, workforce: DataFrame, *,
                              workforce_grain: Grain = "snapshot",
                              calculated_at: dt.datetime | None = None,
                              ordered: bool = False) -> DataFrame:
     """Attendance counts, rates and hours per day and department."""
-    joined = join_workforce(daily.where(F.col("attendance_date").isNotNull()),
-                            workforce_dimension(workforce, DEPARTMENT, workforce_grain),
-                            ["attendance_date", "total_duration", "total_break_mins"])
-    status_counts = {"present_count": 1, "absent_count": 2, "leave_count": 3,
-                     "holiday_count": 4, "half_day_count": 5}
-    minute_sums = {"total_late_minutes": "late_by_mins", "total_minutes": "total_duration",
-                   "pay_minutes": "pay_duration", "ot_minutes": "ot_duration",
-                   "break_minutes": "total_break_mins", "on_call_minutes": "on_call_duration"}
-    totals = joined.groupBy("attendance_date", *DEPARTMENT).agg(
-        distinct_count("attendance_id").alias("total_records"),
-        distinct_count("employee_int_id").alias("unique_employees"),
-        *(distinct_count("attendance_id", f"attendance_status_id = {status}").alias(name)
-          for name, status in status_counts.items()),
-        distinct_count("attendance_id", "is_late").alias("late_count"),
-        distinct_count("attendance_id", "is_early_leave").alias("early_leave_count"),
-        *(weighted_sum(column).alias(name) for name, column in minute_sums.items()))
+    return attendance_daily_from(attendance_states(daily, workforce, workforce_grain),
+                                 calculated_at=calculated_at, ordered=ordered)
+
+
+def attendance_daily_from(parts: DataFrame, *, calculated_at: dt.datetime | None = None,
+                          ordered: bool = False) -> DataFrame:
+    """:func:`attendance_daily_metrics` from states in which no slot of a day and department comes twice."""
+    totals = counted(parts, DAY_GROUP, attendance_measures())
     day, records = F.col("attendance_date"), F.col("total_records")
 
     def in_hours(minutes: str):
@@ -72,7 +92,7 @@ def attendance_daily_metrics(daily: DataFrame, workforce: DataFrame, *,
         "attendance_date", year_of(day).alias("attendance_year"),
         month_of(day).alias("attendance_month"), iso_week(day).alias("attendance_week"),
         day_of_week(day).alias("day_of_week"), day_name(day).alias("day_name"), *DEPARTMENT,
-        "total_records", "unique_employees", *status_counts, "late_count", "early_leave_count",
+        "total_records", "unique_employees", *STATUS_COUNTS, "late_count", "early_leave_count",
         guarded_ratio(F.col("present_count"), records, 1, 100.0).alias("presence_rate"),
         guarded_ratio(F.col("absent_count"), records, 1, 100.0).alias("absence_rate"),
         guarded_ratio(F.col("late_count"), records, 1, 100.0).alias("late_rate"),
@@ -154,17 +174,11 @@ def _by_headcount(frame: DataFrame, ordered: bool, *keys: str) -> DataFrame:
     return frame.orderBy(*descending("employee_count"), *ascending(*keys)) if ordered else frame
 
 
-def payroll_period_metrics(pay: DataFrame, workforce: DataFrame, *,
-                           workforce_grain: Grain = "snapshot",
-                           calculated_at: dt.datetime | None = None,
-                           ordered: bool = False) -> DataFrame:
-    """Pay totals per month and department."""
-    facts = (pay.where(F.col("pay_date").isNotNull())
-             .withColumn("pay_month_start", F.trunc("pay_date", "MM"))
-             .withColumn("employer_cost", F.col("gross_pay") + F.col("employer_taxes")
-                         + F.col("employer_amount")))
-    joined = join_workforce(facts, workforce_dimension(workforce, DEPARTMENT, workforce_grain),
-                            ["pay_date", "gross_pay", "net_pay"])
+PERIOD_GROUP = ["pay_month_start", *DEPARTMENT]
+
+
+def payroll_measures() -> Measures:
+    """What a period and department keeps: distinct cheques and people, extremes and sums of money."""
     sums = {"total_gross_pay": "gross_pay", "total_net_pay": "net_pay",
             "total_deductions": "deductions", "total_employee_taxes": "employee_taxes",
             "total_employer_taxes": "employer_taxes",
@@ -172,15 +186,42 @@ def payroll_period_metrics(pay: DataFrame, workforce: DataFrame, *,
             "total_employer_cost": "employer_cost", "total_hours": "total_hours",
             "total_401k_hours": "hours_401k", "total_check_amount": "check_amount",
             "total_dd_amount": "direct_deposit_amount"}
+    return Measures(
+        counts={"payroll_records": ("payroll_work_id", None), "employees_paid": ("employee_int_id", None),
+                "check_payments": ("employee_int_id", "check_amount > 0"),
+                "dd_payments": ("employee_int_id", "direct_deposit_amount > 0")},
+        sums={"cheques": F.col(COPIES), **{name: F.col(column) * F.col(COPIES) for name, column in sums.items()}},
+        least={"min_gross_pay": F.col("gross_pay")}, most={"max_gross_pay": F.col("gross_pay")})
+
+
+def payroll_states(pay: DataFrame, workforce: DataFrame, workforce_grain: Grain = "snapshot",
+                   period: str = "pay_month_start") -> DataFrame:
+    """Mergeable states per period (``pay_month_start``, or ``pay_date`` for single days) and department."""
+    facts = (pay.where(F.col("pay_date").isNotNull())
+             .withColumn("pay_month_start", F.trunc("pay_date", "MM"))
+             .withColumn("employer_cost", F.col("gross_pay") + F.col("employer_taxes")
+                         + F.col("employer_amount")))
+    joined = join_workforce(facts, workforce_dimension(workforce, DEPARTMENT, workforce_grain),
+                            ["pay_date", "gross_pay", "net_pay"])
+    return states(joined, [period, *DEPARTMENT], payroll_measures())
+
+
+def payroll_period_metrics(pay: DataFrame, workforce: DataFrame, *,
+                           workforce_grain: Grain = "snapshot",
+                           calculated_at: dt.datetime | None = None,
+                           ordered: bool = False) -> DataFrame:
+    """Pay totals per month and department."""
+    return payroll_period_from(payroll_states(pay, workforce, workforce_grain),
+                               calculated_at=calculated_at, ordered=ordered)
+
+
+def payroll_period_from(parts: DataFrame, *, calculated_at: dt.datetime | None = None,
+                        ordered: bool = False) -> DataFrame:
+    """:func:`payroll_period_metrics` from states per month, or per day (``pay_date``), which are merged."""
+    if "pay_month_start" not in parts.columns:
+        parts = merged(parts.withColumn("pay_month_start", F.trunc("pay_date", "MM")), PERIOD_GROUP, payroll_measures())
     # One key for the month: year, month, quarter and text all follow from it.
-    totals = joined.groupBy("pay_month_start", *DEPARTMENT).agg(
-        distinct_count("payroll_work_id").alias("payroll_records"),
-        distinct_count("employee_int_id").alias("employees_paid"),
-        distinct_count("employee_int_id", "check_amount > 0").alias("check_payments"),
-        distinct_count("employee_int_id", "direct_deposit_amount > 0").alias("dd_payments"),
-        F.sum(COPIES).alias("cheques"),
-        F.min("gross_pay").alias("min_gross_pay"), F.max("gross_pay").alias("max_gross_pay"),
-        *(weighted_sum(column).alias(name) for name, column in sums.items()))
+    totals = counted(parts, PERIOD_GROUP, payroll_measures())
     month, paid, cheques = F.col("pay_month_start"), F.col("employees_paid"), F.col("cheques")
 
     def money(name: str):
@@ -228,7 +269,8 @@ def workforce_metrics(workforce: DataFrame, as_of: dt.date, *,
                       ordered: bool = False) -> DataFrame:
     """Headcount, tenure, pay and leave per department and number, with band counts.
 
-    The band counts are per department *name*, and repeat for each number of it.
+    The band counts are per department *name*, and repeat for each number of it: both grains come from the same
+    states, so the employees are read once and nothing is joined.
     """
     staff = with_tenure_and_age(workforce.where(F.col("department_name").isNotNull()), as_of)
     hired_within = {days: f"hire_date >= DATE'{as_of - dt.timedelta(days=days)}'"
@@ -245,32 +287,39 @@ def workforce_metrics(workforce: DataFrame, as_of: dt.date, *,
         "new_hires_30d": hired_within[30],
         "new_hires_90d": hired_within[90],
     }
-    yearly_pay = F.col("hourly_rate") * F.col("standard_weekly_hours") * PAID_WEEKS_PER_YEAR
-    departments = staff.groupBy(*DEPARTMENT).agg(
-        *(distinct_count("employee_int_id", where).alias(name)
-          for name, where in conditions.items()),
-        exact_mean("tenure_years").alias("avg_tenure_years"),
-        F.min("tenure_years").alias("min_tenure_years"),
-        F.max("tenure_years").alias("max_tenure_years"),
-        exact_mean("hourly_rate").alias("avg_hourly_rate"),
-        F.min("hourly_rate").alias("min_hourly_rate"),
-        F.max("hourly_rate").alias("max_hourly_rate"),
-        F.sum(yearly_pay).alias("total_annual_payroll_estimate"),
-        F.sum("pto_balance").alias("total_pto_balance"),
-        F.sum("sick_balance").alias("total_sick_balance"),
-        exact_mean("pto_balance").alias("avg_pto_balance"),
-        exact_mean("sick_balance").alias("avg_sick_balance"))
     tenure_columns = ("tenure_under_1yr", "tenure_1_2yr", "tenure_3_4yr", "tenure_5_9yr",
                       "tenure_10_19yr", "tenure_20plus")
     age_columns = ("age_under_25", "age_25_34", "age_35_44", "age_45_54", "age_55_64",
                    "age_65plus")
-    # Both pivots count the same id, so they share one pass over the employees.
-    bands = staff.groupBy("department_name").agg(
-        *(distinct_count("employee_int_id", f"tenure_band = '{label}'").alias(name)
-          for name, (label, _) in zip(tenure_columns, TENURE_BANDS)),
-        *(distinct_count("employee_int_id", f"age_band = '{label}'").alias(name)
-          for name, (label, _) in zip(age_columns, AGE_BANDS)))
-    frame = departments.join(bands, "department_name", "left")
+    bands = {**{name: f"tenure_band = '{label}'" for name, (label, _) in zip(tenure_columns, TENURE_BANDS)},
+             **{name: f"age_band = '{label}'" for name, (label, _) in zip(age_columns, AGE_BANDS)}}
+    averaged = {"avg_tenure_years": "tenure_years", "avg_hourly_rate": "hourly_rate",
+                "avg_pto_balance": "pto_balance", "avg_sick_balance": "sick_balance"}
+    yearly_pay = F.col("hourly_rate") * F.col("standard_weekly_hours") * PAID_WEEKS_PER_YEAR
+    measures = Measures(
+        counts={name: ("employee_int_id", where) for name, where in {**conditions, **bands}.items()},
+        sums={"total_annual_payroll_estimate": yearly_pay,
+              **{f"_sum_{name}": F.col(column) for name, column in averaged.items()},
+              **{f"_n_{name}": F.when(F.col(column).isNotNull(), F.lit(1)) for name, column in averaged.items()}},
+        least={"min_tenure_years": F.col("tenure_years"), "min_hourly_rate": F.col("hourly_rate")},
+        most={"max_tenure_years": F.col("tenure_years"), "max_hourly_rate": F.col("hourly_rate")})
+    parts = states(staff, DEPARTMENT, measures)
+    # A name's bits of a slot are those of all its numbers; the first number's row counts them.
+    same = Window.partitionBy("department_name", SLOT)
+    first = F.row_number().over(same.orderBy(*ascending("department_number"))) == 1
+    parts = parts.withColumn("_named", F.when(first, F.bit_or(WORD).over(same)))
+    of_name = dict(zip(bands, bits_of(bands, measures, F.col("_named"))))
+    totals = counted(parts, DEPARTMENT, measures, names=conditions, further={f"_{n}": c for n, c in of_name.items()})
+    whole = Window.partitionBy("department_name")
+    frame = totals.select(
+        *DEPARTMENT, *conditions,
+        *(F.try_divide(F.col(f"_sum_{name}").cast("double"), F.col(f"_n_{name}")).alias(name) if name in averaged
+          else F.col(f"_sum_avg_{name[6:]}").alias(name) if name in ("total_pto_balance", "total_sick_balance")
+          else F.col(name) for name in (
+              "avg_tenure_years", "min_tenure_years", "max_tenure_years", "avg_hourly_rate", "min_hourly_rate",
+              "max_hourly_rate", "total_annual_payroll_estimate", "total_pto_balance", "total_sick_balance",
+              "avg_pto_balance", "avg_sick_balance")),
+        *(F.sum(f"_{name}").over(whole).alias(name) for name in bands))
     if ordered:
         frame = frame.orderBy(*descending("active_employees"), *ascending(*DEPARTMENT))
     return calculated(frame, calculated_at)

@@ -14,9 +14,10 @@ from pyspark.sql.types import DateType, DecimalType, IntegralType, TimestampType
 
 from rosterloom.functions import row_count
 from rosterloom.model import WorkforceModel
-from rosterloom.operators.workforce import Grain
-from rosterloom.plans import alerts, healthcare as hc, kpis, reports, staging
-from rosterloom.sources import conform, ingest, materialize, quality
+from rosterloom.operators import join_bucketed, join_split, workforce_dimension
+from rosterloom.operators.workforce import KEY, Grain
+from rosterloom.plans import alerts, business, healthcare as hc, kpis, metrics, reports, staging
+from rosterloom.sources import conform, incremental, ingest, materialize, quality
 from rosterloom.sources.schemas import raw_schema
 from rosterloom.sources.scratch import fresh_database
 from rosterloom.sources.starschema import ACTIVITY_AS_OF, AS_OF, StarSchemaTables
@@ -41,6 +42,7 @@ HOLDS_NULLS: dict[str, tuple[str, ...]] = {
     "a1_import_table": ("Activity_Id",),
     "a1_import_window": ("Activity_Id",),
     "a2_recent_window": ("Activity_Id",),
+    "a2_window_history": ("Activity_Id",),
     "a3_clean_columns": ("arrears_assigned_yn", "Age"),
     "b2_stg_attendance": ("shift_diff_flag",),
     "b3_stg_daily_attendance": ("attendance_id", "attendance_status_id", "employee_int_id"),
@@ -49,6 +51,8 @@ HOLDS_NULLS: dict[str, tuple[str, ...]] = {
     "b7_stg_payroll_main": ("payroll_work_id",),
     "c1_attendance_detail": ("shift_diff_flag",),
     "c2_daily_attendance_detail": ("attendance_id", "employee_int_id"),
+    "c2_daily_attendance_bucketed": ("attendance_id", "employee_int_id"),
+    "c2_daily_attendance_split": ("attendance_id", "employee_int_id"),
     "c4_payroll_analytics": ("payroll_work_id",),
     "c5_payroll_detail": ("age", "arrears_assigned"),
     "c8_workforce_demographics": ("age", "tenure_years"),
@@ -224,10 +228,69 @@ def refresh_log(spark: SparkSession, directory: str) -> DataFrame:
     return materialize.refreshes(spark, f"{database}.materialized_views").drop("last_refresh")
 
 
+def window_history(spark: SparkSession, directory: str) -> DataFrame:
+    """Two window imports, the first a window earlier; the days before the second's window stay."""
+    database, raw = fresh_database(spark, "window_history"), StarSchemaTables(spark, directory).activity_log
+    for now in (IMPORT_NOW - dt.timedelta(days=IMPORT_DAYS), IMPORT_NOW):
+        ingest.import_days(raw, f"{database}.activity_log", "EnteredDate", IMPORT_DAYS, now)
+    return spark.table(f"{database}.activity_log").drop("import_day")
+
+
+def _bucketed(spark: SparkSession, directory: str, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    """Dated punches and their people, as tables in equal buckets of the employee."""
+    model, database = model_of(spark, directory), fresh_database(spark, "bucketed")
+    layout = ingest.TableLayout(bucket_by=(KEY,), buckets=buckets)
+    people = workforce_dimension(model.stg_workforce, business.DETAIL_ATTRIBUTES)
+    ingest.replace_table(model.stg_daily_attendance, f"{database}.punches", layout)
+    ingest.replace_table(people, f"{database}.people", layout)
+    punches = spark.table(f"{database}.punches")
+    return punches.where(F.col("attendance_date").isNotNull()), spark.table(f"{database}.people")
+
+
+def bucketed_detail(spark: SparkSession, directory: str) -> DataFrame:
+    return business.daily_attendance_detail_of(join_bucketed(*_bucketed(spark, directory)))
+
+
+def split_detail(model: WorkforceModel, most: int = 1_000_000) -> DataFrame:
+    """Daily attendance with its frequent employees dealt over several tasks."""
+    return business.daily_attendance_detail_of(join_split(
+        model.stg_daily_attendance.where(F.col("attendance_date").isNotNull()),
+        workforce_dimension(model.stg_workforce, business.DETAIL_ATTRIBUTES), ["attendance_id", "attendance_date"], most))
+
+
+def _refreshed_twice(spark: SparkSession, facts: DataFrame, date_column: str, plan: incremental.DailyStates) -> DataFrame:
+    """States by month after a first refresh that lacked some rows of each July, and a second of all."""
+    late = (F.month(date_column) == 7) & (F.pmod(F.xxhash64(*(F.col(c) for c in facts.columns)), F.lit(2)) == 0)
+    incremental.refresh(spark, facts.where(~F.coalesce(late, F.lit(False))), plan)
+    incremental.refresh(spark, facts, plan)
+    return spark.table(plan.table)
+
+
+def incremental_daily(spark: SparkSession, directory: str) -> DataFrame:
+    """Attendance per day and department from states of which the second refresh recomputes the changed months."""
+    model, database = model_of(spark, directory), fresh_database(spark, "incremental_daily")
+    workforce = model.stg_workforce.select("employee_int_id", *metrics.DEPARTMENT)
+    facts = model.stg_daily_attendance.drop("_loaded_at")
+    plan = incremental.DailyStates(lambda daily: metrics.attendance_states(daily, workforce), "attendance_date",
+                                   "attendance_date", f"{database}.attendance_states", (workforce,), "MM")
+    return metrics.attendance_daily_from(_refreshed_twice(spark, facts, "attendance_date", plan), calculated_at=LOADED_AT)
+
+
+def incremental_periods(spark: SparkSession, directory: str) -> DataFrame:
+    """Pay per month and department, merged from the states of single pay days."""
+    model, database = model_of(spark, directory), fresh_database(spark, "incremental_periods")
+    workforce = model.stg_workforce.select("employee_int_id", *metrics.DEPARTMENT)
+    facts = model.stg_payroll_main.drop("_loaded_at")
+    plan = incremental.DailyStates(lambda pay: metrics.payroll_states(pay, workforce, period="pay_date"), "pay_date",
+                                   "pay_date", f"{database}.payroll_states", (workforce,), "MM")
+    return metrics.payroll_period_from(_refreshed_twice(spark, facts, "pay_date", plan), calculated_at=LOADED_AT)
+
+
 INGEST: dict[str, Query] = {
     "a1_import_table": import_table,
     "a1_import_window": import_window,
     "a2_recent_window": recent_window,
+    "a2_window_history": window_history,
     "a3_clean_columns": clean_columns,
     "a4_import_many": import_many,
     "a5_sync_table": sync_table,
@@ -238,7 +301,10 @@ INGEST: dict[str, Query] = {
     "a9_materialized_view": materialized_view,
     "a9_materialized_window": _clustered,
     "a9_refresh_log": refresh_log,
+    "a9_incremental_daily": incremental_daily,
+    "a9_incremental_periods": incremental_periods,
     "b6_stg_payroll_from_text": staged_text_feed,
+    "c2_daily_attendance_bucketed": bucketed_detail,
 }
 
 # Views.  Terminal outputs are sorted where the view is.
@@ -254,6 +320,7 @@ VIEW_QUERIES: dict[str, Callable[[WorkforceModel], DataFrame]] = {
     "b8_stg_workforce": lambda m: m.stg_workforce,
     "c1_attendance_detail": lambda m: m.attendance_detail(ordered=True),
     "c2_daily_attendance_detail": lambda m: m.daily_attendance_detail(),
+    "c2_daily_attendance_split": split_detail,
     "c3_employee_summary": lambda m: m.employee_summary(),
     "c4_payroll_analytics": lambda m: m.payroll_analytics(),
     "c5_payroll_detail": lambda m: m.payroll_detail(ordered=True),

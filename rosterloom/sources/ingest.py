@@ -54,11 +54,21 @@ class TableLayout:
     ``cluster_by`` range-partitions and sorts the rows, so that a date window
     skips files by their statistics; name a further column after the date, so
     that one day holding most rows is still split.  ``partition_by`` makes a
-    folder per value, for few-valued columns.
+    folder per value, for few-valued columns.  ``bucket_by`` deals the rows into ``buckets``
+    files by the hash of these columns, sorted by them: tables with equal buckets join on them without a
+    shuffle. It excludes ``cluster_by``.
     """
 
     cluster_by: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+
+    def __post_init__(self):
+        if bool(self.bucket_by) != (self.buckets > 0):
+            raise ValueError("bucket_by and buckets go together")
+        if self.bucket_by and self.cluster_by:
+            raise ValueError("a table is either bucketed or clustered by range")
 
 
 AS_IS = TableLayout()
@@ -87,8 +97,13 @@ def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) ->
                  .sortWithinPartitions(*layout.partition_by, *layout.cluster_by))
     spark, beside = frame.sparkSession, f"{target}__new"
     spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    writer = frame.write
+    if layout.bucket_by:
+        # Dealt as the buckets are, so that each bucket is one file and not one per task.
+        writer = (frame.repartition(layout.buckets, *layout.bucket_by).write
+                  .bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by))
     try:
-        frame.write.saveAsTable(beside, partitionBy=list(layout.partition_by) or None)
+        writer.saveAsTable(beside, partitionBy=list(layout.partition_by) or None)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {beside}")
         raise
@@ -100,6 +115,50 @@ def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) ->
     return rows
 
 
+def overwrite_days(frame: DataFrame, target: str, day: str) -> None:
+    """Writes the frame's days into ``target``, a table partitioned by the date ``day``; other days stay as they are.
+
+    Only the partitions that the frame has rows for are replaced, each when its successor is complete, so the table is
+    never missing. The table is made where there is none. Rows are dealt to tasks by day; AQE joins small days and
+    splits a day that holds most rows.
+    """
+    spark, names = frame.sparkSession, [c for c in frame.columns if c != day]
+    frame = frame.select(*names, day)
+    # An insert follows the table's own mode, not the writer's; without it, all other days would go.
+    mode = ("partitionOverwriteMode", "dynamic")
+    if not spark.catalog.tableExists(target):
+        frame.limit(0).write.option(*mode).saveAsTable(target, partitionBy=[day])
+    elif not spark.sql(f"DESCRIBE FORMATTED {target}").where(F.col("data_type").contains("=".join(mode))).count():
+        spark.sql(f"ALTER TABLE {target} SET SERDEPROPERTIES ('{mode[0]}' = '{mode[1]}')")
+    (frame.select(*spark.table(target).columns).hint("rebalance", day).write
+     .mode("overwrite").insertInto(target))
+
+
+def drop_days(spark: SparkSession, target: str, day: str, days: Sequence[dt.date]) -> None:
+    """Drops whole days of a table partitioned by ``day``; days it doesn't have are passed over."""
+    if days:
+        parts = ", ".join(f"PARTITION ({day} = DATE'{d}')" for d in days)
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS {parts}")
+
+
+def import_days(source: DataFrame, target: str, date_column: str, days_back: int, now: dt.datetime,
+                day: str = "import_day") -> None:
+    """Imports the days within ``days_back`` before ``now`` into ``target`` and keeps its older ones.
+
+    The window begins with a whole day, as days are replaced whole; ``day`` is added as the partition. Days of the window that
+    the source no longer has go. Undated rows are in no window. A target is never missing or half a day.
+    """
+    spark = source.sparkSession
+    first = (now - dt.timedelta(days=days_back)).date()
+    fresh = recent(source, date_column, 0, dt.datetime.combine(first, dt.time())).withColumn(
+        day, F.col(date_column).cast("date"))
+    overwrite_days(fresh, target, day)
+    # A few thousand days at most: one row per day of the window.
+    held = {r[0] for r in spark.table(target).where(F.col(day) >= F.lit(first)).select(day).distinct().collect()}
+    found = {r[0] for r in fresh.select(day).distinct().collect()}
+    drop_days(spark, target, day, sorted(held - found))
+
+
 def _import(job: ImportJob, target: str, now: dt.datetime) -> int:
     frame = job.read()
     if job.date_column and job.days_back:

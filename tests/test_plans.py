@@ -68,10 +68,20 @@ def test_scans_read_only_what_is_used(model):
     assert "l_shipdate" not in lines and "l_quantity" not in lines
 
 
-def test_daily_metrics_expand_once_per_id_not_per_count(model):
-    text = plan(ALL["d1_attendance_daily_metrics"](model))
-    branches = re.search(r"Expand \[(\[.*?\])\], \[", text).group(1).count("], [") + 1
-    assert branches == 3
+def test_distinct_counts_are_words_not_expanded_rows(model):
+    """One copy of a row per further id, whatever number of counts; OR in a hash aggregate."""
+    for name, copies in (("d1_attendance_daily_metrics", 2), ("d9_payroll_period_metrics", 2), ("d11_workforce_metrics", 0)):
+        text = plan(VIEW_QUERIES[name](model))
+        expands = {m.count("], [") + 1 for m in re.findall(r"Expand \[(\[.*?\])\], \[", text)}
+        assert expands == ({copies} if copies else set()), name
+        assert "bit_or" in text and "SortAggregate" not in text, name
+
+
+def test_workforce_metrics_read_the_master_once_and_join_nothing_after(model):
+    text = plan(VIEW_QUERIES["d11_workforce_metrics"](model))
+    own = plan(model.stg_workforce)
+    assert text.count("Scan parquet") == own.count("Scan parquet")
+    assert len(re.findall("Join", text)) == len(re.findall("Join", own))
 
 
 def test_attendance_rules_share_one_scan(model):
