@@ -6,7 +6,7 @@ any number of counts over an id (up to 64) is one OR aggregate in one eight-byte
 ``bitmap_construct_agg`` would hold four kilobytes for each bucket and sort. A count is the number of its bits that are set. Two
 states of the same group merge by OR, which counts themselves can't: days into months, numbers into departments.
 
-Counts over two ids take two groupings of the same rows: one further copy per id, not per count.
+Counts over two ids copy each row once: one further copy per id, not per count.
 """
 
 from __future__ import annotations
@@ -68,14 +68,14 @@ def _shifted(value: Column, by: Column) -> Column:
 
 
 def _word(column: str, measures: Measures) -> Column:
-    """The conditions a row meets, at its id's place in the word; a null id has none."""
+    """A row's word: the conditions it meets, at its id's place; null for a null id."""
     names = measures.of_id(column)
     flags = reduce(Column.bitwiseOR, (
         F.lit(1 << k if k < 63 else -(1 << 63)).cast("long") if where is None
         else F.when(F.expr(where), F.lit(1 << k if k < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
         for k, where in enumerate(measures.counts[name][1] for name in names)))
     place = F.col(column).cast("long").bitwiseAND((1 << measures.neighbours(column)) - 1).cast("int")
-    return F.bit_or(_shifted(flags, place * len(names)))
+    return _shifted(flags, place * len(names))
 
 
 def states(frame: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
@@ -84,21 +84,18 @@ def states(frame: DataFrame, keys: Sequence[str], measures: Measures) -> DataFra
     The totals are on the rows of the first id alone, so that they are counted once. Ids may be null (counted nowhere),
     negative and as large as a long. A condition that is null doesn't hold.
     """
-    ids, slots = measures.ids, [f"_slot{k}" for k in range(len(measures.ids))]
-    words = [_word(column, measures).alias(f"_word{k}") for k, column in enumerate(ids)]
-    totals = [kind(column).alias(name) for kind, chosen in (
-        (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()]
-    placed = frame.withColumns({s: _slot(c, measures) for s, c in zip(slots, ids)})
-    if len(ids) == 1:
-        return placed.groupBy(*keys, *slots).agg(*words, *totals).select(
-            *keys, F.lit(0).alias(ID), F.col(slots[0]).alias(SLOT), F.col("_word0").alias(WORD), *measures.totals)
-    # One grouping per id; a grouping keeps its own id's word.
-    sets = [[*map(F.col, keys), F.col(s)] for s in slots]
-    which = reduce(lambda rest, k: F.when(F.grouping(slots[k]) == 0, F.lit(k)).otherwise(rest), range(len(ids)), F.lit(-1))
-    grouped = placed.groupingSets(sets, *keys, *slots).agg(which.alias(ID), *words, *totals)
-    own = F.coalesce(*(F.when(F.col(ID) == k, F.col(f"_word{k}")) for k in range(len(ids))))
-    return grouped.select(*keys, ID, F.coalesce(*slots).alias(SLOT), own.alias(WORD),
-                          *(F.when(F.col(ID) == 0, F.col(n)).alias(n) for n in measures.totals))
+    # One copy of a row per id, by a generator: filters on the keys pass it on their way to the scan, which an Expand would stop.
+    copies = [F.struct(F.lit(k).alias(ID), _slot(column, measures).alias(SLOT), _word(column, measures).alias(WORD))
+              for k, column in enumerate(measures.ids)]
+    if len(copies) == 1:
+        placed = frame.withColumns({ID: F.lit(0), SLOT: _slot(measures.ids[0], measures), WORD: _word(measures.ids[0], measures)})
+        counts_here = lambda column: column
+    else:
+        placed = frame.select("*", F.inline(F.array(*copies)))
+        counts_here = lambda column: F.when(F.col(ID) == 0, column)
+    return placed.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *(
+        kind(counts_here(column)).alias(name) for kind, chosen in (
+            (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()))
 
 
 def _totals(measures: Measures) -> list[Column]:
