@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Grain = Literal["snapshot", "latest"]
 
@@ -29,16 +29,20 @@ COPIES = "copies"
 
 
 def latest_workforce(workforce: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per employee: the snapshot with the highest pay-date id.
+    """One row per employee: the snapshot with the highest pay-date id; of equal ids, the greatest attributes.
 
-    A maximum over (pay-date id, attributes) instead of a ranked window: it is
-    pre-aggregated map-side, so no task sees all snapshots of one employee.
+    The highest id is a fixed-width maximum in a hash aggregate over two columns; what is joined to the master is one pair of numbers
+    per employee, so Spark broadcasts it by its own measure and older snapshots go before any shuffle. Only what ties for the
+    newest is ranked, cut to one row per employee on the map side too. A maximum over (id, attributes)
+    would sort all snapshots instead.
     """
     kept = [name for name in (columns or workforce.columns)
             if name not in (KEY, "tcpaydt_int_id")]
-    newest = F.max(F.struct("tcpaydt_int_id", *kept))
-    return (workforce.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(newest.alias("_newest"))
-            .select(KEY, *(F.col("_newest")[name].alias(name) for name in kept)))
+    people = workforce.where(F.col(KEY).isNotNull()).select(KEY, "tcpaydt_int_id", *kept)
+    newest = people.groupBy(KEY).agg(F.max("tcpaydt_int_id").alias("_newest")).withColumnRenamed(KEY, "_person")
+    ties = people.join(newest, (F.col(KEY) == F.col("_person")) & F.col("tcpaydt_int_id").eqNullSafe(F.col("_newest")), "left_semi")
+    greatest = Window.partitionBy(KEY).orderBy(*(F.desc_nulls_last(name) for name in kept or [KEY]))
+    return ties.withColumn("_place", F.row_number().over(greatest)).where(F.col("_place") == 1).select(KEY, *kept)
 
 
 def workforce_dimension(workforce: DataFrame, attributes: Sequence[str],

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 from collections import Counter
 
@@ -82,6 +83,20 @@ def test_latest_snapshot_wins_and_ties_are_settled(spark):
     assert found == {1: "new", 2: "only", 3: "b"}
 
 
+def test_latest_snapshot_is_the_maximum_of_id_and_attributes(spark):
+    random.seed(2)
+    pick = lambda *values: random.choice([None, *values])
+    rows = [(random.randrange(40), pick(1, 2, 3), pick("x", "y", ""), pick(0.5, float("nan")), pick(dt.date(2024, 1, 1)))
+            for _ in range(600)] + [(7, 3, "y", 0.5, None)] * 200
+    frame = spark.createDataFrame(
+        rows, "employee_int_id long, tcpaydt_int_id long, department string, rate double, hired date").repartition(7)
+    kept = ["department", "rate", "hired"]
+    greatest = frame.groupBy("employee_int_id").agg(F.max(F.struct("tcpaydt_int_id", *kept)).alias("m")).select(
+        "employee_int_id", *(f"m.{c}" for c in kept))
+    found = operators.latest_workforce(frame, kept)
+    assert found.count() == 40 and found.exceptAll(greatest).count() == 0
+
+
 def test_top_k_per_group(spark):
     random.seed(1)
     rows = [("hot", random.random()) for _ in range(500)] + [("cold", 0.5), ("cold", 0.1)]

@@ -76,6 +76,12 @@ def test_distinct_counts_are_words_not_expanded_rows(model):
         assert "bit_or" in text and "SortAggregate" not in text and "Expand" not in text, name
 
 
+def test_newest_snapshots_are_found_without_sorting_all(model):
+    for name in ("h3_clinical_staff", "h7_shift_coverage", "h8_clinical_workforce", "h9_staffing_ratios"):
+        text = plan(HEALTHCARE_QUERIES[name](model))
+        assert "SortAggregate" not in text and "WindowGroupLimit" in text, name
+
+
 def test_workforce_metrics_read_the_master_once_and_join_nothing_after(model):
     text = plan(VIEW_QUERIES["d11_workforce_metrics"](model))
     own = plan(model.stg_workforce)
