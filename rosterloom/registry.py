@@ -171,15 +171,14 @@ def clean_columns(spark: SparkSession, directory: str) -> DataFrame:
 
 def quality_report(spark: SparkSession, directory: str) -> DataFrame:
     model = model_of(spark, directory)
-    daily, workforce = model.stg_daily_attendance, model.stg_workforce
-    return quality.report([
-        quality.not_null(daily, "stg_daily_attendance", ["attendance_id", "attendance_date"]),
-        quality.unique(daily, "stg_daily_attendance", ["attendance_id"]),
-        quality.unique(workforce, "stg_workforce", ["employee_int_id", "tcpaydt_int_id"]),
-        quality.referential(daily, "stg_daily_attendance", "employee_int_id", workforce,
-                            "employee_int_id"),
-        quality.same_row_count(model.raw.thr_attendance, "stg_daily_attendance", daily),
-    ])
+    daily, workforce = "stg_daily_attendance", "stg_workforce"
+    return quality.checked({
+        daily: quality.TableChecks(
+            model.stg_daily_attendance, not_null=("attendance_id", "attendance_date"), unique=(("attendance_id",),),
+            referential=(("employee_int_id", workforce, "employee_int_id"),), same_rows=("thr_attendance",)),
+        workforce: quality.TableChecks(model.stg_workforce, unique=(("employee_int_id", "tcpaydt_int_id"),)),
+        "thr_attendance": quality.TableChecks(model.raw.thr_attendance),
+    })
 
 
 def _text_feed(spark: SparkSession, directory: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 # The log tables' columns.
@@ -92,6 +92,13 @@ def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) ->
     counted in the written table, from the files' footers. ``cluster_by`` reads the source once more, to
     sample its ranges.
     """
+    beside, rows = write_beside(frame, target, layout)
+    swap_in(frame.sparkSession, beside, target, layout)
+    return rows
+
+
+def write_beside(frame: DataFrame, target: str, layout: TableLayout = AS_IS) -> tuple[str, int]:
+    """Writes the rows to a table next to ``target``; returns its name and their number."""
     if layout.cluster_by:
         frame = (frame.repartitionByRange(*layout.cluster_by)
                  .sortWithinPartitions(*layout.partition_by, *layout.cluster_by))
@@ -107,12 +114,15 @@ def replace_table(frame: DataFrame, target: str, layout: TableLayout = AS_IS) ->
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {beside}")
         raise
-    rows = spark.table(beside).count()
+    return beside, spark.table(beside).count()
+
+
+def swap_in(spark: SparkSession, beside: str, target: str, layout: TableLayout = AS_IS) -> None:
+    """Gives ``beside`` the name ``target``, whose old table goes."""
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"ALTER TABLE {beside} RENAME TO {target}")
     if layout.partition_by:  # their folders have moved along
         spark.sql(f"MSCK REPAIR TABLE {target} SYNC PARTITIONS")
-    return rows
 
 
 def overwrite_days(frame: DataFrame, target: str, day: str) -> None:
@@ -203,15 +213,24 @@ def sync_table(spark: SparkSession, source: DataFrame, target: str, *, log_table
                now: dt.datetime) -> str:
     """Copies a table with cleaned column names and checks the row counts agree.
 
+    The source is read once: its rows are counted as they pass to the writer (an observed metric of the writing stage, of which
+    Spark counts each finished task once), the target's come from the files' footers.
     An empty source leaves the target alone.  Returns the logged status.
     """
+    passed = Observation(f"sync {target}")
     try:
-        expected = source.count()
-        if expected == 0:
+        counted = clean_column_names(source).observe(passed, F.count(F.lit(1)).alias("rows"))
+        beside, written = write_beside(counted, target)
+        expected = passed.get.get("rows", 0)  # no metric where the optimizer knows the source is empty
+        if expected == written == 0:
+            spark.sql(f"DROP TABLE IF EXISTS {beside}")
             return "skipped: source is empty"
-        written = replace_table(clean_column_names(source), target)
-        status = ("success" if written == expected
-                  else f"failed: {written} of {expected} rows")
+        if written == expected:
+            swap_in(spark, beside, target)
+            status = "success"
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {beside}")
+            status = f"failed: {written} of {expected} rows"
     except Exception as error:
         expected, status = 0, f"failed: {error}"
     append_log(spark, log_table, FRESHNESS_LOG, [(target, now, expected, status)])

@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import SMALL
 
-from rosterloom.registry import HEALTHCARE_QUERIES, REPORT_QUERIES, VIEW_QUERIES, model_of
+from rosterloom.registry import HEALTHCARE_QUERIES, INGEST, REPORT_QUERIES, VIEW_QUERIES, model_of
 
 ALL = {**VIEW_QUERIES, **REPORT_QUERIES, **HEALTHCARE_QUERIES}
 
@@ -89,6 +89,12 @@ def test_workforce_metrics_read_the_master_once_and_join_nothing_after(model):
     assert len(re.findall("Join", text)) == len(re.findall("Join", own))
 
 
+def test_quality_report_scans_each_table_once(spark, model):
+    """Attendance, its raw table and the master; the master's own view reads several files."""
+    own = sum(plan(frame).count("Scan parquet") for frame in (model.stg_daily_attendance, model.raw.thr_attendance, model.stg_workforce))
+    assert plan(INGEST["a8_quality_report"](spark, SMALL)).count("Scan parquet") <= own
+
+
 def test_attendance_rules_share_one_scan(model):
     text = plan(ALL["d5_executive_alerts"](model))
     assert text.count("l_returnflag") and len(re.findall(

@@ -131,6 +131,47 @@ def test_quality_checks(spark):
                     "same_row_count": (False, "1 rows difference")}
 
 
+def test_all_checks_at_once_agree_with_single_ones(spark):
+    child = spark.createDataFrame([(1, "a", 1.5), (1, None, 1.5), (None, "b", None), (None, "c", 2.0), (3, "c", 2.0)],
+                                  "id int, `x y` string, r double")
+    parent = spark.createDataFrame([("a", 1), ("b", 1), (None, None), ("a", 2)], "x string, big long")
+    single = quality.report([
+        quality.not_null(child, "c", ["id", "x y"]), quality.unique(child, "c", ["id"]), quality.unique(child, "c", ["id", "r"]),
+        quality.referential(child.withColumnRenamed("x y", "x"), "c", "x", parent, "x"),
+        quality.referential(child, "c", "id", parent, "big"), quality.same_row_count(child, "c", parent),
+        quality.unique(parent, "p", ["x"])]).drop("check_time")
+    together = quality.checked({
+        "c": quality.TableChecks(child, ("id", "x y"), (("id",), ("id", "r")), (("x y", "p", "x"), ("id", "p", "big")), ("p",)),
+        "p": quality.TableChecks(parent, unique=(("x",),))}).drop("check_time")
+    renamed = single.replace("referential:x", "referential:x y", "check_name")
+    assert dicts(together, "table_name", "check_name") == dicts(renamed, "table_name", "check_name")
+    empty = quality.checked({"c": quality.TableChecks(child.limit(0), ("id",), (("id",),), (("id", "p", "big"),)),
+                             "p": quality.TableChecks(parent.limit(0))})
+    assert all(r["passed"] for r in dicts(empty)) and empty.count() == 3
+    for wrong in (("r", "p", "big"), ("id", "q", "big")):
+        with pytest.raises((ValueError, KeyError)):
+            quality.checked({"c": quality.TableChecks(child, referential=(wrong,)), "p": quality.TableChecks(parent)})
+
+
+def test_sync_reads_its_source_once(spark, database):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            reads.add(len(part))
+            yield part
+
+    source = spark.range(0, 50, 1, 3).mapInPandas(counted, "id long")
+    assert ingest.sync_table(spark, source, f"{database}.once", log_table=f"{database}.freshness", now=NOW) == "success"
+    assert reads.value == 50 and spark.table(f"{database}.once").count() == 50
+    assert dicts(spark.table(f"{database}.freshness"))[0]["row_count"] == 50
+    assert ingest.sync_table(spark, spark.createDataFrame([], "id long"), f"{database}.once", log_table=f"{database}.freshness",
+                             now=NOW).startswith("skipped")
+    assert ingest.sync_table(spark, source.where("id < 0"), f"{database}.once", log_table=f"{database}.freshness",
+                             now=NOW).startswith("skipped")
+    assert spark.table(f"{database}.once").count() == 50 and not spark.catalog.tableExists(f"{database}.once__new")
+
+
 @pytest.fixture
 def model(spark):
     return WorkforceModel(StarSchemaTables(spark, SMALL), STAR_AS_OF, LOADED_AT)
