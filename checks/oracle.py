@@ -155,6 +155,15 @@ UNION ALL SELECT 'tppd_dept', count(*), 'success' FROM nation""",
     "b6_stg_payroll_from_text": """SELECT * REPLACE (CASE WHEN num_pay_periods <> 7 THEN age END AS age,
   CASE WHEN num_pay_periods <> 6 THEN CAST(total_arrears AS DOUBLE) END AS total_arrears, CAST(current_arrears AS DOUBLE) AS current_arrears,
   CASE WHEN num_pay_periods <> 5 THEN arrears_assigned END AS arrears_assigned) FROM s_ben""",
+    "s12_accepted_rows": rows("s_ben", doubles="total_arrears current_arrears", tail="WHERE num_pay_periods NOT IN (5, 6, 7)"),
+    "s12_rejected_rows": f"""SELECT CASE WHEN l_orderkey % 173 <> 0 THEN 'E' || o_custkey END AS employee_id,
+  CAST(o_custkey AS VARCHAR) AS employee_int_id, CAST(l_linenumber AS VARCHAR) AS num_pay_periods,
+  CASE WHEN l_linenumber = 7 THEN 'n/a' WHEN l_partkey % 59 <> 0 THEN CAST(p_size + 18 AS VARCHAR) END AS age,
+  CASE WHEN l_linenumber = 6 THEN '12,5' WHEN l_partkey % 37 <> 0 THEN CAST(CAST({_ARREARS} * 2 / 100.0 AS DECIMAL(18,2)) AS VARCHAR) END AS total_arrears,
+  CASE WHEN l_linenumber = 5 THEN 'maybe' WHEN l_linenumber < 7 THEN CAST(l_linenumber % 2 = 0 AS VARCHAR) END AS arrears_assigned,
+  CASE l_linenumber WHEN 5 THEN 'arrears_assigned_yn' WHEN 6 THEN 'Total Arrears' ELSE 'Age' END AS failed
+  FROM {_BENEFITS} WHERE l_linenumber IN (5, 6, 7)""",
+    "a9_keyed_employees": rows("s_emp", tail="WHERE CAST(employee_int_id AS BIGINT) % 10 <> 7"),
     "a9_materialized_view": rows("b_emp", doubles="total_current_arrears total_arrears"),
     "a9_refresh_log": "SELECT 'metrics.headcount_metrics' AS view_name, count(*) AS row_count, 'success' AS refresh_status FROM m_head",
 
@@ -487,7 +496,7 @@ _HOLD_NULLS: dict[str, str] = {
     "a3_clean_columns": "arrears_assigned_yn Age",
     "b2_stg_attendance": "shift_diff_flag",
     "b3_stg_daily_attendance": "attendance_id attendance_status_id employee_int_id",
-    "b6_stg_payroll": "age arrears_assigned", "b6_stg_payroll_from_text": "age arrears_assigned", "b7_stg_payroll_main": "payroll_work_id",
+    "b6_stg_payroll": "age arrears_assigned", "b6_stg_payroll_from_text": "age arrears_assigned", "s12_accepted_rows": "age arrears_assigned", "b7_stg_payroll_main": "payroll_work_id",
     "c1_attendance_detail": "shift_diff_flag", "c2_daily_attendance_detail": "attendance_id employee_int_id",
     "c2_daily_attendance_bucketed": "attendance_id employee_int_id", "c2_daily_attendance_split": "attendance_id employee_int_id",
     "c4_payroll_analytics": "payroll_work_id", "c5_payroll_detail": "age arrears_assigned",

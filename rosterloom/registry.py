@@ -17,7 +17,7 @@ from rosterloom.model import WorkforceModel
 from rosterloom.operators import join_bucketed, join_split, workforce_dimension
 from rosterloom.operators.workforce import KEY, Grain
 from rosterloom.plans import alerts, business, healthcare as hc, kpis, metrics, reports, staging
-from rosterloom.sources import conform, incremental, ingest, materialize, quality
+from rosterloom.sources import conform, incremental, ingest, keyed, materialize, quality
 from rosterloom.sources.schemas import raw_schema
 from rosterloom.sources.scratch import fresh_database
 from rosterloom.sources.starschema import ACTIVITY_AS_OF, AS_OF, StarSchemaTables
@@ -48,6 +48,7 @@ HOLDS_NULLS: dict[str, tuple[str, ...]] = {
     "b3_stg_daily_attendance": ("attendance_id", "attendance_status_id", "employee_int_id"),
     "b6_stg_payroll": ("age", "arrears_assigned"),
     "b6_stg_payroll_from_text": ("age", "arrears_assigned"),
+    "s12_accepted_rows": ("age", "arrears_assigned"),
     "b7_stg_payroll_main": ("payroll_work_id",),
     "c1_attendance_detail": ("shift_diff_flag",),
     "c2_daily_attendance_detail": ("attendance_id", "employee_int_id"),
@@ -200,6 +201,39 @@ def staged_text_feed(spark: SparkSession, directory: str) -> DataFrame:
     return staging.stg_payroll(raw, LOADED_AT)
 
 
+def _quarantined(spark: SparkSession, directory: str, purpose: str) -> str:
+    target = f"{fresh_database(spark, purpose)}.benefits"
+    conform.quarantine(_text_feed(spark, directory), target, raw_schema("crmc_payrollfile"))
+    return target
+
+
+def accepted_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """The benefits view over those rows of the text feed of which all values cast."""
+    raw = conform.accepted(spark, _quarantined(spark, directory, "accepted"))
+    return staging.stg_payroll(raw, LOADED_AT)
+
+
+def rejected_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """The other rows, as delivered, with their failing columns."""
+    raw = conform.rejected(spark, _quarantined(spark, directory, "rejected"))
+    return raw.select(
+        F.col("Employee ID").alias("employee_id"), F.col("emp_Int_id").alias("employee_int_id"),
+        F.col("No of PP").alias("num_pay_periods"), F.col("Age").alias("age"), F.col("Total Arrears").alias("total_arrears"),
+        F.col("arrears_assigned_yn").alias("arrears_assigned"), F.array_join("_failed", ",").alias("failed"))
+
+
+def keyed_employees(spark: SparkSession, directory: str) -> DataFrame:
+    """An employee list that starts out of date and incomplete, is brought up to date by key, and loses some people."""
+    name = f"{fresh_database(spark, 'keyed')}.employees"
+    people = model_of(spark, directory).stg_employees.drop("_loaded_at")
+    key, number = ["employee_id", "employee_int_id"], F.col("employee_int_id").cast("long")
+    old = people.where(number % 3 != 0).withColumn("last_name", F.when(number % 2 == 0, F.lit("?")).otherwise(F.col("last_name")))
+    keyed.upsert(spark, name, old, key)
+    keyed.upsert(spark, name, people.where((number % 3 == 0) | (number % 2 == 0)), key)
+    keyed.delete(spark, name, people.where(number % 10 == 7), key)
+    return spark.table(name)
+
+
 def _clustered(spark: SparkSession, directory: str) -> DataFrame:
     """Daily metrics materialised by date, and the last 30 days read back: files of other days are skipped."""
     database = fresh_database(spark, "materialized_by_date")
@@ -297,6 +331,7 @@ INGEST: dict[str, Query] = {
     "a7_row_parity": row_parity,
     "a8_quality_report": quality_report,
     "a8_uncastable_values": uncastable_values,
+    "a9_keyed_employees": keyed_employees,
     "a9_materialized_view": materialized_view,
     "a9_materialized_window": _clustered,
     "a9_refresh_log": refresh_log,
@@ -304,6 +339,8 @@ INGEST: dict[str, Query] = {
     "a9_incremental_periods": incremental_periods,
     "b6_stg_payroll_from_text": staged_text_feed,
     "c2_daily_attendance_bucketed": bucketed_detail,
+    "s12_accepted_rows": accepted_rows,
+    "s12_rejected_rows": rejected_rows,
 }
 
 # Views.  Terminal outputs are sorted where the view is.

@@ -1,13 +1,14 @@
-"""Feeds that deliver text: casting them to a raw table's types, and counting what will not cast."""
+"""Feeds that deliver text: casting them to a raw table's types, counting what will not cast, and setting such rows aside."""
 
 from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from rosterloom.functions import quoted
+from rosterloom.sources.ingest import TableLayout, replace_table
 
 OnBad = Literal["raise", "null"]
 
@@ -54,3 +55,52 @@ def uncastable(raw: DataFrame, table: str, schema: StructType) -> DataFrame:
     return counted.unpivot([], [quoted(f.name) for f in fields], "column", "bad").select(
         F.concat(F.lit("castable:"), "column").alias("check_name"), F.lit(table).alias("table_name"),
         (F.col("bad") == 0).alias("passed"), F.concat(F.col("bad").cast("string"), F.lit(" bad values")).alias("details"))
+
+
+FAILED, DELIVERED, ACCEPTED = "_failed", "_delivered", "_accepted"
+
+
+def quarantine(raw: DataFrame, target: str, schema: StructType) -> tuple[int, int]:
+    """Casts a text feed and sets the rows with a value that will not cast aside; returns how many were accepted and rejected.
+
+    One pass over the feed writes one table with a folder for either kind of row, so :func:`accepted` and :func:`rejected` add up to the
+    feed and are replaced together. A rejected row keeps the names of its failing columns, in the schema's order, and the
+    text of all its delivered columns; an accepted row holds neither. The counts come from the files' footers.
+    """
+    fields = _delivered(raw, schema)
+    bad = F.filter(F.array(*(F.when(_tried(f).isNull() & (F.trim(quoted(f.name)) != ""), F.lit(f.name)) for f in fields))
+                   .cast("array<string>"), lambda name: name.isNotNull())
+    delivered = F.create_map(*(part for f in fields for part in (F.lit(f.name), quoted(f.name))))
+    plain = raw.columns
+    cast = {f.name: _tried(f).cast(f.dataType).alias(f.name) for f in fields}
+    rows = raw.select(*(cast.get(name, quoted(name)) for name in plain), bad.alias("_bad"),
+                      delivered.cast("map<string,string>").alias("_texts"))
+    sound = F.size("_bad") == 0
+    marked = rows.select(*map(quoted, plain), F.when(~sound, F.col("_bad")).alias(FAILED),
+                         F.when(~sound, F.col("_texts")).alias(DELIVERED), sound.alias(ACCEPTED))
+    replace_table(marked, target, TableLayout(partition_by=(ACCEPTED,)))
+    spark = raw.sparkSession
+    return accepted(spark, target).count(), rejected(spark, target).count()
+
+
+def accepted(spark: SparkSession, target: str) -> DataFrame:
+    """The typed rows of a quarantined feed; files of rejected rows are not read."""
+    return spark.table(target).where(F.col(ACCEPTED)).drop(FAILED, DELIVERED, ACCEPTED)
+
+
+def rejected(spark: SparkSession, target: str) -> DataFrame:
+    """The rejected rows as they were delivered, with the list ``_failed``: corrected, they are a feed again.
+
+    Columns that were declared otherwise than as text are text here, as :func:`quarantine` met them.
+    """
+    rows = spark.table(target).where(~F.col(ACCEPTED))
+    return rows.select(*(_as_delivered(f) for f in rows.schema.fields if f.name not in (DELIVERED, ACCEPTED)))
+
+
+def _as_delivered(field: StructField) -> Column:
+    """The delivered text; a column that came in its own type is not among the texts and stays as it is."""
+    if isinstance(field.dataType, (StringType, ArrayType)):
+        return quoted(field.name)
+    text = F.col(DELIVERED)
+    return F.when(F.map_contains_key(text, F.lit(field.name)), text[field.name]).otherwise(
+        quoted(field.name).cast("string")).alias(field.name)

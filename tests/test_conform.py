@@ -2,10 +2,13 @@ from decimal import Decimal
 
 import pytest
 from conftest import LOADED_AT, dicts
+from pyspark.sql import functions as F
 
 from rosterloom.plans import staging
+from rosterloom.sources import conform as feeds
 from rosterloom.sources.conform import conform, uncastable
 from rosterloom.sources.schemas import raw_schema
+from rosterloom.sources.scratch import fresh_database
 
 
 @pytest.fixture
@@ -43,3 +46,33 @@ def test_bad_values_are_counted(spark, schema):
     assert counts["castable:Age"] == (False, "1 bad values") and counts["castable:Corp_Id"] == (False, "1 bad values")
     assert counts["castable:Total Arrears"] == (True, "0 bad values")
     assert "castable:First Name" not in counts
+
+
+def test_quarantine_splits_a_feed_that_adds_up(spark, schema):
+    """Rejected rows come back as delivered; corrected and fed again, all are accepted."""
+    rows = [{"Age": "41"}, {"Age": "n/a", "Corp_Id": "x", "Total Arrears": " 3.10 "}, {"Age": " "}, {"Corp_Id": "7"},
+            {"arrears_assigned_yn": "maybe"}, {"arrears_assigned_yn": "maybe"}]
+    raw = None
+    for row in rows:
+        raw = feed(spark, **row) if raw is None else raw.unionByName(feed(spark, **row))
+    target = f"{fresh_database(spark, 'quarantine')}.feed"
+    assert feeds.quarantine(raw, target, schema) == (3, 3)
+    good, bad = feeds.accepted(spark, target), feeds.rejected(spark, target)
+    assert good.columns == raw.columns and bad.columns == [*raw.columns, "_failed"]
+    assert sorted(r["Age"] or 0 for r in dicts(good)) == [0, 0, 41]
+    failed = {tuple(sorted(r["_failed"])) for r in dicts(bad)}
+    assert failed == {("Age", "Corp_Id"), ("arrears_assigned_yn",)}
+    wrong = raw.where("Age = 'n/a' OR arrears_assigned_yn = 'maybe'")
+    assert bad.drop("_failed").exceptAll(wrong).count() == 0 and wrong.exceptAll(bad.drop("_failed")).count() == 0
+    mended = bad.drop("_failed").replace("n/a", "42", "Age").replace("x", "8", "Corp_Id").withColumn(
+        "arrears_assigned_yn", F.when(F.col("arrears_assigned_yn") != "maybe", F.col("arrears_assigned_yn")))
+    assert feeds.quarantine(mended, f"{target}_mended", schema) == (3, 0)
+    assert feeds.quarantine(raw.limit(0), f"{target}_none", schema) == (0, 0)
+    assert feeds.quarantine(good, f"{target}_typed", schema) == (3, 0)
+
+
+def test_accepted_rows_read_no_rejected_files(spark, schema):
+    raw = feed(spark, Age="n/a").unionByName(feed(spark, Age="3"))
+    target = f"{fresh_database(spark, 'quarantine_files')}.feed"
+    feeds.quarantine(raw, target, schema)
+    assert all("_accepted=true" in name for name in feeds.accepted(spark, target).inputFiles())
