@@ -101,12 +101,12 @@ known AS (SELECT j.r, k, CAST(coalesce(n, 0) AS DOUBLE) AS x, len(letters) AS to
 common AS (SELECT r, k, x FROM known UNION ALL SELECT r, max(k) + 1, any_value(total) - sum(x) FROM known GROUP BY r),
 counted AS (SELECT r, 'class' AS kind, k, x FROM classes UNION ALL SELECT r, 'common', k, x FROM common),
 shares AS (SELECT r, kind, k, CASE WHEN sum(x) OVER (PARTITION BY r, kind) > 0 THEN x / sum(x) OVER (PARTITION BY r, kind) ELSE 0.0 END AS p FROM counted),
-reference AS (SELECT lang, kind, k, avg(p) AS q FROM shares JOIN judged USING (r) WHERE NOT base_failed AND lang IN ({langs}) GROUP BY ALL
-  UNION ALL SELECT '*', kind, k, avg(p) FROM shares JOIN judged USING (r) WHERE NOT base_failed AND kind = 'class' GROUP BY ALL),
+reference AS (SELECT lang, kind, k, avg(p) AS q FROM shares JOIN judged USING (r) WHERE NOT base_failed AND lang IS NOT NULL
+  GROUP BY ALL HAVING count(*) >= {rules.min_documents}),
 distances AS (SELECT s.r, s.kind, sqrt(greatest(sum(
     CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
   FROM shares s JOIN judged USING (r) JOIN reference f ON f.kind = s.kind AND f.k = s.k
-    AND f.lang = CASE WHEN judged.lang IN (SELECT lang FROM reference) THEN judged.lang ELSE '*' END GROUP BY s.r, s.kind),
+    AND f.lang = judged.lang GROUP BY s.r, s.kind),
 final AS (SELECT j.*, CASE WHEN length(text) >= {rules.min_chars_for_classes} THEN a.d END AS by_class,
   CASE WHEN n_words >= {rules.min_words_for_common} THEN b.d END AS by_word
   FROM judged j LEFT JOIN distances a ON a.r = j.r AND a.kind = 'class' LEFT JOIN distances b ON b.r = j.r AND b.kind = 'common')
