@@ -3,10 +3,11 @@
 Overlapping documents are found through shared rare lines: each holder of a line that few documents have
 is paired with all earlier ones. Lines that more documents have would make too many pairs; their
 holders are paired with the earliest alone, one pair per line and document, however many share it.
-A pair that shares enough words is aligned by patience diff, and the aligned common blocks go
-from the later document. What these pairs miss is found exactly: every shortest run of neighbouring
-lines that has enough words is a key, and goes from all its holders but the earliest. Documents are ordered by doc_id,
-nulls last.
+Pairs that this misses are found exactly: every shortest run of neighbouring lines that has enough
+words is a key, and its holders are paired with the earliest of them. Finding deletes nothing: each pair
+is aligned by patience diff, whose elements are these runs, and the aligned common blocks go from the
+later document. What one alignment leaves of a pair is aligned again, so blocks that changed their order go too.
+Documents are ordered by doc_id, nulls last.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterloom.llm.common import free_name, in_arrow, kept, row_key
+from rosterloom.llm.common import bound, free_name, in_arrow, kept, row_key
 
 MIN_WORDS, RARE = 20, 6
-_SEQ = "array<struct<i:int,h:long,w:int>>"
+_SALTS = 64
 
 
 def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -82,23 +83,6 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(earlier: list[dict], later: list[dict], min_words: int) -> list[int]:
-    """Line numbers of ``later`` inside aligned blocks of ``min_words`` or more.
-
-    Lines are ``{i, h, w}``: number among the lines with words, hash, words. A block is a run
-    that is unbroken in both documents.
-    """
-    out, run, words, last = [], [], 0, None
-    for x, y in patience([s["h"] for s in earlier], [s["h"] for s in later]):
-        here = (earlier[x]["i"], later[y]["i"])
-        if last is None or here != (last[0] + 1, last[1] + 1):
-            out += run if words >= min_words else []
-            run, words = [], 0
-        run.append(later[y]["i"])
-        words, last = words + later[y]["w"], here
-    return out + (run if words >= min_words else [])
-
-
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 
 
@@ -133,6 +117,36 @@ def shortest_runs(doc: np.ndarray, i: np.ndarray, h: np.ndarray, w: np.ndarray,
     return first, last, ((sums[last + 1] - sums[first]) * back[first]).view(np.int64)
 
 
+def _keyed_runs(lines: list[dict], min_words: int) -> list[tuple[int, int, int]]:
+    """``(key, first, last)`` of a document's shortest runs, in their order; places in ``lines``."""
+    i, h, w = (np.array([s[c] for s in lines], np.int64) for c in ("i", "h", "w"))
+    first, last, key = shortest_runs(np.zeros(len(lines), np.int64), i, h, w, min_words)
+    return list(zip(key.tolist(), first.tolist(), last.tolist()))
+
+
+def common_blocks(earlier: list[dict], later: list[dict], min_words: int) -> list[int]:
+    """Line numbers of ``later`` inside aligned blocks of ``min_words`` or more.
+
+    Lines are ``{i, h, w}``: number among the lines with words, hash, words; ``g``, a second hash, may follow.
+    The shortest runs of both are aligned, then those of ``later`` that found no partner again, until none does. A block is
+    unbroken in both documents, and its lines agree in all hashes.
+    """
+    a, left = _keyed_runs(earlier, min_words), _keyed_runs(later, min_words)
+    common = {k for k, _, _ in a} & {k for k, _, _ in left}
+    a, left = [r for r in a if r[0] in common], [r for r in left if r[0] in common]
+    gone: set[int] = set()
+    while left:
+        aligned = patience([k for k, _, _ in a], [k for k, _, _ in left])
+        for x, y in aligned:
+            (_, s, e), (_, u, v) = a[x], left[y]
+            if e - s == v - u and all(earlier[s + k]["h"] == later[u + k]["h"] and earlier[s + k].get("g") == later[u + k].get("g")
+                                      for k in range(v - u + 1)):
+                gone.update(later[k]["i"] for k in range(u, v + 1))
+        done = {y for _, y in aligned}
+        left = [r for y, r in enumerate(left) if y not in done]
+    return sorted(gone)
+
+
 def _run_rows(sequences: DataFrame, min_words: int) -> DataFrame:
     """``at, key, i, j`` of the shortest runs of ``at, seq`` rows: a key, and the numbers of its first and last line."""
     def run(batches):
@@ -162,10 +176,10 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     one = docs.select(row_key().alias("node"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.transform(_numbered(text), lambda x: F.struct(
-                          F.xxhash64(x).alias("h"), F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), "")).alias("w"))).alias("l"))
+                          F.xxhash64(x).alias("h"), F.xxhash64(F.lit(7), x).alias("g"), F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), "")).alias("w"))).alias("l"))
     lines = kept(one.select("node", "doc_id", F.posexplode("l").alias("i", "l")).select(
         "node", F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "node").alias("at"),
-        "i", F.col("l.h").alias("h"), F.col("l.w").alias("w")), "lines")
+        "i", F.col("l.h").alias("h"), F.col("l.g").alias("g"), F.col("l.w").alias("w")), "lines")
     shared_lines = kept(lines.groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n"))
                         .where("first <> last").select("h", "first", "n"), "shared_lines")
     shared = kept(lines.join(shared_lines, "h"), "shared")
@@ -174,21 +188,23 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rare = (shared.where(F.col("n") <= RARE).join(holders, "h")
             .select("at", "i", "w", F.explode(F.filter("holders", lambda x: x < F.col("at"))).alias("owner")))
     common = shared.where((F.col("n") > RARE) & (F.col("at") > F.col("first"))).select("at", "i", "w", F.col("first").alias("owner"))
-    pairs = (rare.unionByName(common).groupBy("at", "owner").agg(F.sum("w").alias("words"))
-             .where(F.col("words") >= min_words).select(F.col("at.node").alias("node"), F.col("owner.node").alias("earlier"),
-                                                      F.when(~F.col("owner.last"), F.col("owner.doc_id")).alias("source")))
-    pairs = kept(pairs, "pairs")
+    by_line = (rare.unionByName(common).groupBy("at", "owner").agg(F.sum("w").alias("words"))
+               .where(F.col("words") >= min_words).select("at", "owner"))
     # A repeated row has the same node, and so the same lines: once each.
-    sequences = shared.groupBy("at").agg(F.sort_array(F.collect_set(F.struct("i", "h", "w"))).alias("seq"))
+    sequences = shared.groupBy("at").agg(F.sort_array(F.collect_set(F.struct("i", "h", "w", "g"))).alias("seq"))
     sequences = kept(sequences.where(F.aggregate("seq", F.lit(0), lambda a, x: a + x["w"]) >= min_words)
                      .select(F.col("at.node").alias("node"), "at", "seq"), "sequences")
     runs = kept(_run_rows(sequences, min_words), "runs")
     earliest = runs.groupBy("key").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first")
-    repeats = runs.join(earliest, "key").where("at > first").select(
-        F.col("at.node").alias("node"), F.when(~F.col("first.last"), F.col("first.doc_id")).alias("source"),
-        F.sequence("i", "j").alias("gone"))
-    both = (pairs.join(sequences.select("node", F.col("seq").alias("later_seq")), "node")
-            .join(sequences.select(F.col("node").alias("earlier"), F.col("seq").alias("earlier_seq")), "earlier")
+    by_run = runs.join(earliest, "key").where("at > first").select("at", F.col("first").alias("owner"))
+    pairs = kept(by_line.unionByName(by_run).distinct().select(
+        F.col("at.node").alias("node"), F.col("owner.node").alias("earlier"),
+        F.when(~F.col("owner.last"), F.col("owner.doc_id")).alias("source"),
+        F.pmod(F.xxhash64("at.node"), F.lit(_SALTS)).alias("salt")), "pairs")
+    # A document that most others repeat is copied once per salt that its pairs have, so that they meet it in as many tasks.
+    copies = (pairs.select("earlier", "salt").distinct()
+              .join(sequences.select(F.col("node").alias("earlier"), F.col("seq").alias("earlier_seq")), "earlier"))
+    both = (pairs.join(sequences.select("node", F.col("seq").alias("later_seq")), "node").join(copies, ["earlier", "salt"])
             .select("node", "source", "earlier_seq", "later_seq"))
     schema = pa.schema([("node", pa.string()), ("source", pa.int64()), ("gone", pa.list_(pa.int32()))])
 
@@ -203,8 +219,8 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     gone.append(found)
             yield pa.RecordBatch.from_pydict({"node": nodes, "source": sources, "gone": gone}, schema=schema)
 
-    found = in_arrow(both, align, "node string, source long, gone array<int>").unionByName(repeats)
-    return found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"),
+    found = in_arrow(both, align, "node string, source long, gone array<int>")
+    return found.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"),
                                      F.sort_array(F.collect_set("source")).alias("sources"))
 
 
@@ -213,7 +229,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     a free name; it is the last): ``n_lines``, ``n_gone``, ``words_gone``, ``sources``.
 
     Lines end at ``\\n``; lines without words are never compared and always stay, and lines compare
-    whole and exactly. A text that loses nothing stays as it is, null included. Rows that repeat another's doc_id
+    whole, by two hashes of 64 bits. Very long texts take time in proportion to their lines, and once more for each alignment
+    that blocks in changed order need. A text that loses nothing stays as it is, null included. Rows that repeat another's doc_id
     and text are one document and are treated alike; of equal ids with different texts,
     either may be the later. An empty table gives an empty result.
     """
@@ -223,17 +240,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     own = [F.col(f"d.`{c}`") for c in docs.columns]
     # The same plan at every size: never a broadcast, which only a small corpus would get.
     joined = keyed.alias("d").join(gone.hint("merge").alias("g"), node, "left")
-    lines = F.split("d.text", "\n")
-    # Numbers count lines with words: a running count finds each line's own.
-    cut = F.aggregate(
-        lines, F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"), F.lit(0).alias("w")),
-        lambda a, x: F.when(~x.rlike(r"[^\x20\x09-\x0D]"), F.struct(
-            a["n"].alias("n"), F.array_append(a["out"], x).alias("out"), a["w"].alias("w")))
-        .when(F.array_contains("g.gone", a["n"]), F.struct(
-            (a["n"] + 1).alias("n"), a["out"].alias("out"),
-            (a["w"] + F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), ""))).alias("w")))
-        .otherwise(F.struct((a["n"] + 1).alias("n"), F.array_append(a["out"], x).alias("out"), a["w"].alias("w"))))
-    done = joined.select(*own, F.when(F.col("g.gone").isNotNull(), cut).alias(name), F.struct(
+    words = lambda x: F.size(F.array_remove(F.split(x, r"[\x20\x09-\x0D]+"), ""))
+
+    def cut(lines):
+        """What stays and the words that go; places in sets, so that the work grows with the lines only."""
+        places = F.sequence(F.lit(0), F.size(lines) - 1)
+        with_words = F.filter(places, lambda p: F.get(lines, p).rlike(r"[^\x20\x09-\x0D]"))
+        return bound(bound(with_words, lambda own: F.transform(F.col("g.gone"), lambda k: F.get(own, k))), lambda out: F.struct(
+            F.transform(F.array_except(places, out), lambda p: F.get(lines, p)).alias("out"),
+            F.aggregate(out, F.lit(0), lambda a, p: a + words(F.get(lines, p))).alias("w")))
+
+    done = joined.select(*own, F.when(F.col("g.gone").isNotNull(), bound(F.split("d.text", "\n"), cut)).alias(name), F.struct(
         F.size(_numbered(text_of("d"))).alias("n_lines"), F.coalesce(F.size("g.gone"), F.lit(0)).alias("n_gone"),
         F.coalesce("g.sources", F.array().cast("array<long>")).alias("sources")).alias(node))
     state = F.col(name)

@@ -174,3 +174,34 @@ def test_query_equals_all_pairs(spark):
     assert len({k for k, _ in rows}) == len(rows)
     gone = {int(r["node"].split(":")[0]): set(r["gone"]) for r in linededup.deletions(docs).collect()}
     assert gone == {k: v for k, v in all_pairs(rows).items() if v}
+
+
+def test_alignment_decides(spark, monkeypatch):
+    rows = [(1, passage("a") + "\n" + passage("b")), (2, "own\n" + passage("b") + "\nbetween\n" + passage("a"))]
+    gone = linededup.deletions(documents(spark, rows)).collect()
+    assert [sorted(g["gone"]) for g in gone] == [[1, 2, 3, 5, 6, 7]]  # blocks in changed order go as well
+    monkeypatch.setattr(linededup, "common_blocks", lambda *_: [])
+    assert linededup.deletions(documents(spark, rows)).collect() == []
+
+
+def test_lines_that_agree_in_one_hash_only_stay():
+    line = lambda i, g: {"i": i, "h": i, "w": 12, "g": g}
+    earlier = [line(k, 0) for k in range(4)]
+    assert linededup.common_blocks(earlier, [line(0, 0), line(1, 0), line(2, 9), line(3, 0)], 20) == [0, 1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14))
+def test_blocks_are_all_common_runs(a, b):
+    seq = lambda x: [{"i": k, "h": h, "w": 8} for k, h in enumerate(x)]
+    expected = {j + k for j in range(len(b) - 2) for i in range(len(a) - 2) if a[i:i + 3] == b[j:j + 3] for k in range(3)}
+    assert set(linededup.common_blocks(seq(a), seq(b), 20)) == expected
+
+
+def test_a_very_long_text(spark):
+    lines = [f"a{k} b{k} c{k} d{k} e{k}" for k in range(100_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[50_000:]) + "\n\nown words\n" + "\n".join(lines[:50_000]))]
+    frame = linededup.dedup_lines(documents(spark, rows))
+    got = {r["doc_id"]: r for r in frame.collect()}
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "\nown words"
+    assert got[2][frame.columns[-1]]["n_gone"] == 100_000 and got[2][frame.columns[-1]]["words_gone"] == 500_000
