@@ -78,15 +78,24 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+_ROW = ["doc_id", "text_hash", "lang"]
+
+
+def _labelled(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", F.xxhash64(text).alias("text_hash"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+
+
 def training_sample(docs: DataFrame, kernel: Kernel) -> DataFrame:
-    """``(doc_id, lang)`` of at most ``per_language`` rows of each language.
+    """``(doc_id, text_hash, lang)`` of at most ``per_language`` rows of each language; repeated rows count as one.
 
     Every task keeps that many rows of a language at most, then every group of tasks, then
     one task per language: none gets more than a fixed number for each group, and one language may hold all rows.
+    One id may hold many texts and languages, and may be null.
     """
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    rows = (docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
-            .withColumn("tasks", F.pmod(F.spark_partition_id(), F.lit(128))))
+    order = [F.xxhash64(*_ROW), *_ROW]
+    rows = _labelled(docs).select(*_ROW).distinct().withColumn("tasks", F.pmod(F.spark_partition_id(), F.lit(128)))
     few = top_k_per_group(rows, ["lang", "tasks"], order, kernel.per_language)
     return top_k_per_group(few.drop("tasks"), ["lang"], order, kernel.per_language)
 
@@ -95,15 +104,18 @@ def fit(docs: DataFrame, kernel: Kernel = Kernel()) -> Model | None:
     """Learns from ``text`` and ``lang`` of the sample; None without a labelled text that has a letter.
 
     Features of the sampled texts are made where these lie; a kilobyte for each
-    comes to the driver.
+    comes to the driver, ``per_language`` for each language at most.
     """
-    ids = [(r["doc_id"], r["lang"]) for r in training_sample(docs, kernel).collect()]
+    ids = [tuple(r[c] for c in _ROW) for r in training_sample(docs, kernel).collect()]
     if not ids:
         return None
     spark = docs.sparkSession
-    chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, lang string").distinct())
-    sample = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).join(
-        chosen, ["doc_id", "lang"])
+    chosen = F.broadcast(spark.createDataFrame(ids, "own_id long, own_hash long, own_lang string"))
+    rows = _labelled(docs)
+    found = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["own_id"]) & (rows["text_hash"] == chosen["own_hash"])
+                      & (rows["lang"] == chosen["own_lang"]))
+    # Copies of a row become one in each task already.
+    sample = found.groupBy(*_ROW).agg(F.first("text").alias("text"))
 
     def featurize(batches):
         tables = _tables(kernel)

@@ -70,3 +70,16 @@ def test_whole_texts_count():
     text = "ab " * 60000 + "zq"
     short = langid.presence(["ab ab zq"], kernel)
     assert np.array_equal(langid.presence([text], kernel), short)
+
+
+def test_sample_stands_repeated_and_null_ids(spark):
+    kernel = langid.Kernel(per_language=20)
+    rows = [(1, f"{SAMPLES['en']} {k}", "en") for k in range(300)] + [(2, "always this", "en")] * 300
+    rows += [(None, f"{SAMPLES['de']} {k}", "de") for k in range(30)]
+    docs = documents(spark, rows)
+    sample = [tuple(r) for r in langid.training_sample(docs, kernel).collect()]
+    assert len(sample) == len(set(sample)) == 40
+    model = langid.fit(docs, kernel)
+    assert list(model.languages) == ["de", "en"] and len(model.landmarks) <= 40
+    got = langid.predict(documents(spark, [(1, SAMPLES["de"]), (2, SAMPLES["en"])]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "de", 2: "en"}
