@@ -81,21 +81,28 @@ def _word(column: str, measures: Measures) -> Column:
 def states(frame: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
     """Partial states: ``keys``, ``state_id`` (which id), ``state_slot`` (its neighbourhood), ``state_word``, and the totals.
 
-    The totals are on the rows of the first id alone, so that they are counted once. Ids may be null (counted nowhere),
+    Over several ids, the totals are a row of their own per key (``state_id`` -1, no slot and word): they come down to one row per key
+    before any shuffle, and the words, which are nearly as many as the rows, don't carry them. Ids may be null (counted nowhere),
     negative and as large as a long. A condition that is null doesn't hold.
     """
+    totals = [kind(column).alias(name) for kind, chosen in (
+        (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()]
+    if len(measures.ids) == 1:
+        column, = measures.ids
+        placed = frame.withColumns({ID: F.lit(0), SLOT: _slot(column, measures), WORD: _word(column, measures)})
+        return placed.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *totals)
     # One copy of a row per id, by a generator: filters on the keys pass it on their way to the scan, which an Expand would stop.
     copies = [F.struct(F.lit(k).alias(ID), _slot(column, measures).alias(SLOT), _word(column, measures).alias(WORD))
               for k, column in enumerate(measures.ids)]
-    if len(copies) == 1:
-        placed = frame.withColumns({ID: F.lit(0), SLOT: _slot(measures.ids[0], measures), WORD: _word(measures.ids[0], measures)})
-        counts_here = lambda column: column
-    else:
-        placed = frame.select("*", F.inline(F.array(*copies)))
-        counts_here = lambda column: F.when(F.col(ID) == 0, column)
-    return placed.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *(
-        kind(counts_here(column)).alias(name) for kind, chosen in (
-            (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()))
+    words = frame.select(*keys, F.inline(F.array(*copies))).groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD))
+    return _with_totals(words, frame.groupBy(*keys).agg(*totals), keys) if totals else words
+
+
+def _with_totals(words: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Words, and a row of totals per key."""
+    no_word = [F.lit(-1).alias(ID), F.lit(None).cast("long").alias(SLOT), F.lit(None).cast("long").alias(WORD)]
+    names = [c for c in totals.columns if c not in keys]
+    return words.unionByName(totals.select(*keys, *no_word, *names), allowMissingColumns=True)
 
 
 def _totals(measures: Measures) -> list[Column]:
@@ -105,7 +112,10 @@ def _totals(measures: Measures) -> list[Column]:
 
 def merged(parts: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
     """States of coarser ``keys`` (or of several parts) from finer ones: words by OR, totals by their own kind."""
-    return parts.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *_totals(measures))
+    if len(measures.ids) == 1 or not measures.totals:
+        return parts.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *_totals(measures))
+    words = parts.where(F.col(ID) >= 0).groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD))
+    return _with_totals(words, parts.groupBy(*keys).agg(*_totals(measures)), keys)
 
 
 def bits_of(names: Iterable[str], measures: Measures, word: Column | None = None) -> list[Column]:

@@ -17,6 +17,7 @@ from rosterloom.model import WorkforceModel
 from rosterloom.operators import join_bucketed, join_split, workforce_dimension
 from rosterloom.operators.workforce import KEY, Grain
 from rosterloom.plans import alerts, business, healthcare as hc, kpis, metrics, reports, staging
+from rosterloom.session import limit_methods
 from rosterloom.sources import conform, incremental, ingest, keyed, materialize, quality
 from rosterloom.sources.schemas import raw_schema
 from rosterloom.sources.scratch import fresh_database
@@ -558,12 +559,13 @@ LATEST_TWINS = ("c2_daily_attendance_detail", "c4_payroll_analytics", "d1_attend
 def all_queries() -> dict[str, Query]:
     def over_model(name: str, build: Callable[[WorkforceModel], DataFrame],
                    grain: Grain = "snapshot") -> Query:
-        return lambda spark, directory: comparable(build(model_of(spark, directory, grain)),
-                                                   HOLDS_NULLS.get(name, ()))
+        return over_files(name, lambda spark, directory: build(model_of(spark, directory, grain)))
 
     def over_files(name: str, build: Query) -> Query:
-        return lambda spark, directory: comparable(build(spark, directory),
-                                                   HOLDS_NULLS.get(name, ()))
+        def query(spark: SparkSession, directory: str) -> DataFrame:
+            limit_methods(spark)
+            return comparable(build(spark, directory), HOLDS_NULLS.get(name, ()))
+        return query
 
     found = {name: over_files(name, build) for name, build in INGEST.items()}
     groups = VIEW_QUERIES | REPORT_QUERIES | HEALTHCARE_QUERIES

@@ -67,3 +67,13 @@ def test_counts_sharing_a_word_keep_their_bits(spark, width):
 def test_more_counts_than_bits_are_refused():
     with pytest.raises(ValueError):
         Measures(counts={f"c{k}": ("x", None) for k in range(65)}).neighbours("x")
+
+
+def test_totals_are_one_row_per_key_beside_the_words(spark):
+    """However many slots a key's ids have, sums aren't carried by each."""
+    measures = Measures(counts={"nx": ("x", None), "ny": ("y", None)}, sums={"s": F.col("x")})
+    frame = spark.range(5000).select(F.lit("a").alias("k"), (F.col("id") * 64).alias("x"), (F.col("id") * 64).alias("y"))
+    parts = bitmaps.states(frame, ["k"], measures)
+    for found in (parts, bitmaps.merged(parts.unionByName(parts), ["k"], measures)):
+        assert found.where("s IS NOT NULL").count() == 1 and found.count() == 10_001
+    assert tuple(bitmaps.counted(parts, ["k"], measures).first()) == ("a", 5000, 5000, 64 * 5000 * 4999 // 2)
