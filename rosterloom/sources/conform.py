@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from rosterloom.functions import quoted
+from rosterloom.session import setting
 from rosterloom.sources.ingest import TableLayout, replace_table
 
 OnBad = Literal["raise", "null"]
@@ -17,8 +19,8 @@ def _tried(field: StructField) -> Column:
     """The column in its declared type; null where it has no such value."""
     column, target = quoted(field.name), field.dataType
     if isinstance(target, (IntegerType, LongType)):
-        # Whole numbers delivered with decimals are rounded, as staging does.
-        return F.round(column.try_cast("decimal(38,6)"), 0).try_cast(target)
+        # Whole numbers delivered with decimals are rounded, as staging does; most have none and need no decimal.
+        return F.coalesce(column.try_cast(target), F.round(column.try_cast("decimal(38,6)"), 0).try_cast(target))
     return column.try_cast(target)
 
 
@@ -67,19 +69,19 @@ def quarantine(raw: DataFrame, target: str, schema: StructType) -> tuple[int, in
     feed and are replaced together. A rejected row keeps the names of its failing columns, in the schema's order, and the
     text of all its delivered columns; an accepted row holds neither. The counts come from the files' footers.
     """
-    fields = _delivered(raw, schema)
-    bad = F.filter(F.array(*(F.when(_tried(f).isNull() & (F.trim(quoted(f.name)) != ""), F.lit(f.name)) for f in fields))
-                   .cast("array<string>"), lambda name: name.isNotNull())
-    delivered = F.create_map(*(part for f in fields for part in (F.lit(f.name), quoted(f.name))))
-    plain = raw.columns
-    cast = {f.name: _tried(f).cast(f.dataType).alias(f.name) for f in fields}
-    rows = raw.select(*(cast.get(name, quoted(name)) for name in plain), bad.alias("_bad"),
-                      delivered.cast("map<string,string>").alias("_texts"))
-    sound = F.size("_bad") == 0
-    marked = rows.select(*map(quoted, plain), F.when(~sound, F.col("_bad")).alias(FAILED),
-                         F.when(~sound, F.col("_texts")).alias(DELIVERED), sound.alias(ACCEPTED))
-    replace_table(marked, target, TableLayout(partition_by=(ACCEPTED,)))
-    spark = raw.sparkSession
+    fields, plain, spark = _delivered(raw, schema), raw.columns, raw.sparkSession
+    tried = {f.name: f"_tried_{k}" for k, f in enumerate(fields)}
+    fails = {f.name: F.coalesce(F.col(tried[f.name]).isNull() & (F.trim(quoted(f.name)) != ""), F.lit(False)) for f in fields}
+    failed = reduce(Column.__or__, fails.values(), F.lit(False))
+    # Lists and maps are made for failing rows alone.
+    names = F.filter(F.array(*(F.when(bad, F.lit(name)) for name, bad in fails.items())).cast("array<string>"), Column.isNotNull)
+    texts = F.create_map(*(part for f in fields for part in (F.lit(f.name), quoted(f.name)))).cast("map<string,string>")
+    marked = raw.select("*", *(_tried(f).cast(f.dataType).alias(tried[f.name]) for f in fields)).select(
+        *(F.col(tried[name]).alias(name) if name in tried else quoted(name) for name in plain),
+        F.when(failed, names).alias(FAILED), F.when(failed, texts).alias(DELIVERED), (~failed).alias(ACCEPTED))
+    # A task keeps both folders' files open, so its rows needn't be sorted by folder.
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        replace_table(marked, target, TableLayout(partition_by=(ACCEPTED,)))
     return accepted(spark, target).count(), rejected(spark, target).count()
 
 

@@ -76,3 +76,23 @@ def test_accepted_rows_read_no_rejected_files(spark, schema):
     target = f"{fresh_database(spark, 'quarantine_files')}.feed"
     feeds.quarantine(raw, target, schema)
     assert all("_accepted=true" in name for name in feeds.accepted(spark, target).inputFiles())
+
+
+def test_quarantine_neither_sorts_the_feed_nor_lists_texts_of_sound_rows(spark, monkeypatch):
+    """Lists and maps lie under a condition; two open files a task instead of a sort by folder."""
+    from rosterloom.sources import conform, ingest
+    seen, key = [], "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+
+    def watched(frame, target, layout):
+        seen.append((spark.conf.get(key), frame._jdf.queryExecution().optimizedPlan().toString()))
+        return ingest.replace_table(frame, target, layout)
+    monkeypatch.setattr(conform, "replace_table", watched)
+    feed = spark.createDataFrame([("1", "x"), ("2.5", "y"), ("?", "z"), (" ", None)], "n string, t string")
+    spark.sql("CREATE DATABASE IF NOT EXISTS quarantine_plan")
+    schema = spark.createDataFrame([], "n int, t string").schema
+    assert conform.quarantine(feed, "quarantine_plan.feed", schema) == (3, 1)
+    (writers, text), = seen
+    assert writers == "2" and spark.conf.get(key) == before
+    assert text.count("map(n,") == text.count("THEN map(n,") + text.count("THEN cast(map(n,") > 0
+    assert sorted(map(tuple, conform.accepted(spark, "quarantine_plan.feed").collect()), key=str) == [(1, "x"), (3, "y"), (None, None)]
