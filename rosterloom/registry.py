@@ -270,12 +270,21 @@ def window_history(spark: SparkSession, directory: str) -> DataFrame:
     return spark.table(f"{database}.activity_log").drop("import_day")
 
 
-def _bucketed(spark: SparkSession, directory: str, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
-    """Dated punches and their people, as tables in equal buckets of the employee."""
+BUCKET_ROWS = 500_000
+
+
+def _bucketed(spark: SparkSession, directory: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Dated punches and their people, as tables in equal buckets of the employee.
+
+    Unless given, there are at least 16 buckets and one for each ``BUCKET_ROWS`` lines, counted in the files' footers, so that a
+    bucket's rows are sorted in memory however many there are.
+    """
     model, database = model_of(spark, directory), fresh_database(spark, "bucketed")
+    if buckets is None:
+        buckets = max(16, -(-model.raw.read("lineitem").count() // BUCKET_ROWS))
     layout = ingest.TableLayout(bucket_by=(KEY,), buckets=buckets)
     people = workforce_dimension(model.stg_workforce, business.DETAIL_ATTRIBUTES)
-    ingest.replace_table(model.stg_daily_attendance, f"{database}.punches", layout)
+    ingest.replace_table(model.stg_daily_attendance.select(*business.DETAIL_PUNCHES), f"{database}.punches", layout)
     ingest.replace_table(people, f"{database}.people", layout)
     punches = spark.table(f"{database}.punches")
     return punches.where(F.col("attendance_date").isNotNull()), spark.table(f"{database}.people")
