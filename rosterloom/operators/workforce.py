@@ -102,10 +102,10 @@ def join_split(facts: DataFrame, dimension: DataFrame, deal_by: Sequence[str], m
     """:func:`join_workforce` that splits employees with over ``most`` facts, without the help of AQE.
 
     Their facts are dealt over as many salts as it takes to get near ``most`` facts each, by the hash of ``deal_by``, columns that
-    tell facts apart; their few master rows are copied to each salt. ``heavy`` has at most facts / ``most``
-    rows, so it is broadcast by Spark's own measure where that is little. Facts without an employee are dealt out likewise.
+    tell facts apart; their few master rows are copied to each salt. ``heavy`` has at most facts / ``most`` rows of two numbers
+    and is broadcast: Spark's own measure would come after it had shuffled the facts. Facts without an employee are dealt out likewise.
     """
-    heavy = heavy_employees(facts, most)
+    heavy = F.broadcast(heavy_employees(facts, most))
     deal = F.xxhash64(*deal_by)
     dealt = facts.join(heavy, KEY, "left").withColumn("_salt", F.when(F.col(KEY).isNull(), deal).otherwise(
         F.pmod(deal, F.coalesce("_salts", F.lit(1))))).drop("_salts")

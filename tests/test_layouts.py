@@ -81,3 +81,18 @@ def test_heavy_employees_are_few(skewed):
 def test_the_detail_view_is_the_same_however_it_is_split(spark):
     model = model_of(spark, SMALL)
     assert rows(split_detail(model, most=3).drop("entered_date")) == rows(model.daily_attendance_detail().drop("entered_date"))
+
+
+def test_buckets_grow_with_the_lines_and_hold_what_the_view_shows(spark, monkeypatch):
+    monkeypatch.setattr("rosterloom.registry.BUCKET_ROWS", 100)
+    punches, people = _bucketed(spark, SMALL)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    files = {f.rpartition("_")[2] for f in punches.inputFiles()}
+    assert 16 < len(files) <= -(-lines // 100)
+    assert "source_table" not in punches.columns and "_loaded_at" not in punches.columns
+
+
+def test_facts_are_not_shuffled_to_find_frequent_employees(spark, skewed, without):
+    without(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    text = join_split(*skewed, ["attendance_id"], most=500)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
