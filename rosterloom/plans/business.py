@@ -60,6 +60,15 @@ def attendance_detail(attendance: DataFrame, *, ordered: bool = False) -> DataFr
 DETAIL_ATTRIBUTES = ["employee_id", "full_name", "department_name", "department_number", "job_code_name"]
 
 
+# The columns of a punch that the view shows.
+DETAIL_PUNCHES = [
+    "attendance_id", "employee_int_id", "attendance_date", "scheduled_in_time", "actual_in_time", "out_time", "planned_end_time",
+    "attendance_status_id", "first_half_status", "second_half_status", "is_late", "late_by_mins", "is_early_leave",
+    "early_left_by_mins", "is_absent", "absent_minutes", "total_duration", "total_net_duration", "pay_duration",
+    "shift_work_duration", "has_overtime", "ot_start_time", "ot_end_time", "ot_duration", "ot_net_duration", "total_break_mins",
+    "on_call_duration", "call_back_duration", "time_mgt_code", "hr_flag", "entered_date"]
+
+
 def daily_attendance_detail(daily: DataFrame, workforce: DataFrame, *,
                             workforce_grain: Grain = "snapshot") -> DataFrame:
     people = workforce_dimension(workforce, DETAIL_ATTRIBUTES, workforce_grain)
@@ -97,11 +106,14 @@ def employee_summary(payroll: DataFrame) -> DataFrame:
 
     Lines are first summed per plan, which leaves at most one row per person and
     plan; the list of plan types is then built from those few rows, so a person
-    holding a large share of all lines costs no more than any other.
+    holding a large share of all lines costs no more than any other. Lines are
+    dealt by person and plan before the sums: few share both, so sums per split
+    of a file would hold nearly all of its lines at once and save no shuffle.
     """
     person = ["employee_id", "employee_int_id", "first_name", "last_name"]
+    plan = [*person, "benefit_plan_name", "benefit_plan_type"]
     per_plan = (payroll.where(F.col("employee_id").isNotNull())
-                .groupBy(*person, "benefit_plan_name", "benefit_plan_type")
+                .repartition(*plan).groupBy(*plan)
                 .agg(F.sum("current_arrears").alias("current_arrears"),
                      F.sum("total_arrears").alias("total_arrears"),
                      F.max("corp_id").alias("corp_id"),

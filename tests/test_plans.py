@@ -111,3 +111,10 @@ def test_top_k_needs_no_global_sort(model):
 def test_composed_views_do_not_sort(model):
     assert "rangepartitioning" not in plan(model.shift_coverage_metrics())
     assert "rangepartitioning" in plan(model.shift_coverage_metrics(ordered=True))
+
+
+def test_benefit_lines_are_dealt_before_they_are_summed(model):
+    """Sums per person and plan of a whole file split would hold nearly all of its lines."""
+    text = plan(model.employee_summary())
+    assert text.count("REPARTITION_BY_COL") == 1
+    assert "Aggregate" not in text[text.index("REPARTITION_BY_COL"):]
