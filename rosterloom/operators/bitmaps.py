@@ -25,13 +25,15 @@ class Measures:
     """What is kept of a group.
 
     ``counts``: by name, the whole-number id to count and a condition (SQL text) or None. ``sums``, ``least``, ``most``: by name,
-    the column that is summed or of which the extreme is kept.
+    the column that is summed or of which the extreme is kept. ``apart`` keeps the totals of several ids in rows of their own, which
+    reads the facts twice: worth it where many wide decimals are summed.
     """
 
     counts: Mapping[str, tuple[str, str | None]]
     sums: Mapping[str, Column] = field(default_factory=dict)
     least: Mapping[str, Column] = field(default_factory=dict)
     most: Mapping[str, Column] = field(default_factory=dict)
+    apart: bool = False
 
     @property
     def ids(self) -> list[str]:
@@ -81,21 +83,27 @@ def _word(column: str, measures: Measures) -> Column:
 def states(frame: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
     """Partial states: ``keys``, ``state_id`` (which id), ``state_slot`` (its neighbourhood), ``state_word``, and the totals.
 
-    Over several ids, the totals are a row of their own per key (``state_id`` -1, no slot and word): they come down to one row per key
-    before any shuffle, and the words, which are nearly as many as the rows, don't carry them. Ids may be null (counted nowhere),
-    negative and as large as a long. A condition that is null doesn't hold.
+    The totals are on the rows of the first id alone, so that they are counted once, or, ``apart``, on a row of their own per key
+    (``state_id`` -1, no slot and word): these come down to one per key before any shuffle, and the words, which are nearly as
+    many as the facts, don't carry them. Ids may be null (counted nowhere), negative and as large as a long. A condition
+    that is null doesn't hold.
     """
-    totals = [kind(column).alias(name) for kind, chosen in (
-        (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()]
-    if len(measures.ids) == 1:
-        column, = measures.ids
-        placed = frame.withColumns({ID: F.lit(0), SLOT: _slot(column, measures), WORD: _word(column, measures)})
-        return placed.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *totals)
+    def totals(here):
+        return [kind(here(column)).alias(name) for kind, chosen in (
+            (F.sum, measures.sums), (F.min, measures.least), (F.max, measures.most)) for name, column in chosen.items()]
+
     # One copy of a row per id, by a generator: filters on the keys pass it on their way to the scan, which an Expand would stop.
     copies = [F.struct(F.lit(k).alias(ID), _slot(column, measures).alias(SLOT), _word(column, measures).alias(WORD))
               for k, column in enumerate(measures.ids)]
-    words = frame.select(*keys, F.inline(F.array(*copies))).groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD))
-    return _with_totals(words, frame.groupBy(*keys).agg(*totals), keys) if totals else words
+    word = F.bit_or(WORD).alias(WORD)
+    if len(copies) == 1:
+        placed = frame.withColumns({ID: F.lit(0), SLOT: _slot(measures.ids[0], measures), WORD: _word(measures.ids[0], measures)})
+        return placed.groupBy(*keys, ID, SLOT).agg(word, *totals(lambda column: column))
+    if measures.apart and measures.totals:
+        words = frame.select(*keys, F.inline(F.array(*copies))).groupBy(*keys, ID, SLOT).agg(word)
+        return _with_totals(words, frame.groupBy(*keys).agg(*totals(lambda column: column)), keys)
+    placed = frame.select("*", F.inline(F.array(*copies)))
+    return placed.groupBy(*keys, ID, SLOT).agg(word, *totals(lambda column: F.when(F.col(ID) == 0, column)))
 
 
 def _with_totals(words: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,7 +120,7 @@ def _totals(measures: Measures) -> list[Column]:
 
 def merged(parts: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
     """States of coarser ``keys`` (or of several parts) from finer ones: words by OR, totals by their own kind."""
-    if len(measures.ids) == 1 or not measures.totals:
+    if len(measures.ids) == 1 or not (measures.apart and measures.totals):
         return parts.groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD), *_totals(measures))
     words = parts.where(F.col(ID) >= 0).groupBy(*keys, ID, SLOT).agg(F.bit_or(WORD).alias(WORD))
     return _with_totals(words, parts.groupBy(*keys).agg(*_totals(measures)), keys)

@@ -191,7 +191,8 @@ def payroll_measures() -> Measures:
                 "check_payments": ("employee_int_id", "check_amount > 0"),
                 "dd_payments": ("employee_int_id", "direct_deposit_amount > 0")},
         sums={"cheques": F.col(COPIES), **{name: F.col(column) * F.col(COPIES) for name, column in sums.items()}},
-        least={"min_gross_pay": F.col("gross_pay")}, most={"max_gross_pay": F.col("gross_pay")})
+        least={"min_gross_pay": F.col("gross_pay")}, most={"max_gross_pay": F.col("gross_pay")},
+        apart=True)
 
 
 def payroll_states(pay: DataFrame, workforce: DataFrame, workforce_grain: Grain = "snapshot",

@@ -71,7 +71,7 @@ def test_more_counts_than_bits_are_refused():
 
 def test_totals_are_one_row_per_key_beside_the_words(spark):
     """However many slots a key's ids have, sums aren't carried by each."""
-    measures = Measures(counts={"nx": ("x", None), "ny": ("y", None)}, sums={"s": F.col("x")})
+    measures = Measures(counts={"nx": ("x", None), "ny": ("y", None)}, sums={"s": F.col("x")}, apart=True)
     frame = spark.range(5000).select(F.lit("a").alias("k"), (F.col("id") * 64).alias("x"), (F.col("id") * 64).alias("y"))
     parts = bitmaps.states(frame, ["k"], measures)
     for found in (parts, bitmaps.merged(parts.unionByName(parts), ["k"], measures)):
