@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import heapq
 import re
-import struct
 import zlib
 from collections.abc import Mapping
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterloom.llm.common import in_arrow, kept
@@ -29,6 +29,7 @@ from rosterloom.llm.grouped import in_groups, running_before
 CAPACITY, END_ID = 2048, 1
 TURN = 64  # least tokens of a turn
 SPAN = 1 << 20  # tokens of a partition, nearly
+BYTES = 4_000_000  # of texts that are encoded together, nearly
 
 _DOCS = "row long, doc_id long, source string, doc_tokens long, ids binary"
 _ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("source", pa.string()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
@@ -46,16 +47,20 @@ def _byte_of() -> dict[str, int]:
 class _Words(dict):
     """Little-endian ids by space-separated part; the tokenizer drops white space and never joins over it.
 
-    Parts of plain letters, digits and signs are split by the tokenizer's own rule and encoded by tiktoken from
-    the same vocabulary, where a zero byte stands for the end of a word: several times faster than, and tested equal to,
-    the tokenizers file, which encodes all other parts. Bounded in bytes, also within one text.
+    Texts are split and their parts made distinct by Arrow, a slice at a time, so that the cache is asked once for each
+    distinct part of a slice and all unseen parts of a slice are encoded together. Parts of plain letters, digits and signs
+    are split by the tokenizer's own rule and encoded by tiktoken from the same vocabulary, where a zero byte stands for the
+    end of a word: several times faster than, and tested equal to, the tokenizers file, which encodes all other parts.
+    Bounded in bytes, also within one text: beyond that it starts anew from the slice at hand, whose first parts are the common ones.
     """
 
     LIMIT = 64_000_000
+    SLICE = 1_000_000  # parts
+    CALL = 50_000  # parts encoded at once
     END = "</w>"
     _plain = re.compile("[!-~À-ÿ]+").fullmatch
-    # The tokenizer's fixed splitting rule, for the lower-cased characters of a plain part.
-    _pieces = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+    # The tokenizer's fixed splitting rule, for the lower-cased characters of plain parts with a newline after each.
+    _pieces = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n").findall
 
     def __init__(self, path: str, kind: str):
         import tiktoken
@@ -69,30 +74,89 @@ class _Words(dict):
                 whole = word.removesuffix(self.END)
                 ranks[bytes(byte[c] for c in whole) + (b"\0" if word != whole else b"")] = number
         self._fast = tiktoken.Encoding("ranks", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
-        self._code = {"<u2": "H", "<u4": "I"}[kind]
+        self._newline = ranks[b"\n\0"]
+        self._kind = kind
         self._bytes = 0
 
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of plain parts, told apart by the newline's id, which no plain part has."""
+        pieces = self._pieces("\n".join(parts).lower() + "\n")
+        ids = np.array(self._fast.encode_ordinary("\0".join(pieces) + "\0"), self._kind)
+        ends, width, data = np.flatnonzero(ids == self._newline), ids.itemsize, ids.tobytes()
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        return [data[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(parts), self.CALL):
+            some = parts[at:at + self.CALL]
+            joined = "".join(some)
+            if all(some) and self._plain(joined) and "<|" not in joined:
+                out += self._together(some)
+                continue
+            plain = [bool(self._plain(part)) and "<|" not in part for part in some]
+            fast = iter(self._together([part for part, yes in zip(some, plain) if yes]) if any(plain) else ())
+            out += [next(fast) if yes else np.array(self._full.encode(part, add_special_tokens=False).ids, self._kind).tobytes()
+                    for part, yes in zip(some, plain)]
+        return out
+
     def encode(self, part: str) -> list[int]:
-        if self._plain(part) and "<|" not in part:
-            return self._fast.encode_ordinary("\0".join(self._pieces(part.lower())) + "\0")
-        return self._full.encode(part, add_special_tokens=False).ids
+        return np.frombuffer(self._encoded([part])[0], self._kind).tolist()
+
+    def known(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, in their order."""
+        values = list(map(self.get, parts))
+        unseen = [k for k, value in enumerate(values) if value is None]
+        if unseen:
+            new = [parts[k] for k in unseen]
+            ids = self._encoded(new)
+            for k, value in zip(unseen, ids):
+                values[k] = value
+            if not self._keep(new, ids, self.LIMIT):
+                self.clear()
+                self._bytes = 0
+                first = len(parts)
+                while first and not self._keep(parts[:first], values[:first], self.LIMIT // 2):
+                    first //= 2
+        return values
+
+    def _keep(self, parts: list[str], values: list[bytes], limit: int) -> bool:
+        """Adds all parts but very long ones, or none if they go beyond the limit."""
+        if max(map(len, parts)) >= 100:
+            short = [k for k, part in enumerate(parts) if len(part) < 100]
+            parts, values = [parts[k] for k in short], [values[k] for k in short]
+        size = 140 * len(parts) + sum(map(len, parts)) + sum(map(len, values))
+        if self._bytes + size > limit:
+            return False
+        self.update(zip(parts, values))
+        self._bytes += size
+        return True
 
     def __missing__(self, part: str) -> bytes:
-        if part[-1] in ".,;:!?" and part[-2:-1].isalpha() and self._plain(part) and "<|" not in part:
-            value = self[part[:-1]] + self[part[-1]]
-        else:
-            ids = self.encode(part)
-            value = struct.pack(f"<{len(ids)}{self._code}", *ids)
-        self._bytes += 140 + len(part) + len(value)
-        if self._bytes > self.LIMIT:
-            self.clear()
-            self._bytes = 0
-        if len(part) < 100:
-            self[part] = value
-        return value
+        return self.known([part])[0]
+
+    def texts(self, column: pa.Array, end: bytes = b"") -> pa.Array:
+        """Ids of every text, and ``end`` after each."""
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        parts, edges = split.values, split.offsets.to_numpy()
+        taken, lengths = [], [np.zeros(0, np.int64)]
+        for at in range(0, len(parts), self.SLICE):
+            one = parts.slice(at, self.SLICE).dictionary_encode()
+            ids = pa.array(self.known(one.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
+            taken.append(ids.take(one.indices))
+            lengths.append(pc.binary_length(taken[-1]).to_numpy())
+        before = np.concatenate(([0], np.cumsum(np.concatenate(lengths), dtype=np.int64)))[edges]
+        data = b"".join(memoryview(x.buffers()[2])[:int(n.sum())] for x, n in zip(taken, lengths[1:]) if n.any())
+        if end:
+            view = memoryview(data)
+            data = b"".join(x for a, b in zip(before[:-1].tolist(), before[1:].tolist()) for x in (view[a:b], end))
+            before = before + len(end) * np.arange(len(before))
+        # The cast raises where ids are too many for one array.
+        whole = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(before), pa.py_buffer(data)])
+        return whole.cast(pa.binary())
 
     def text(self, text: str) -> bytes:
-        return b"".join([self[p] for p in text.replace("\n", " ").split(" ") if p])
+        return self.texts(pa.array([text], pa.string()))[0].as_py()
 
 
 @lru_cache(2)
@@ -125,16 +189,16 @@ def tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def encode(batches):
         words = _words(tokenizer, kind)
         for batch in batches:
-            rows, size = [], 0
-            for row, key, source, text in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
-                ids = words.text(text.as_py() or "") + end
-                rows.append((row, key, source, len(ids) // width, ids))
-                size += len(ids)
-                if size > 8_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+            row, key, source, text = (batch.column(k) for k in range(4))
+            text = pc.fill_null(text.cast(pa.string()), "")
+            before = np.cumsum(pc.binary_length(text).to_numpy(), dtype=np.int64) // BYTES
+            edges = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(text)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a < b:
+                    ids = words.texts(text.slice(a, b - a), end)
+                    columns = (*(c.slice(a, b - a) for c in (row, key, source)),
+                               pa.array(pc.binary_length(ids).to_numpy() // width, pa.int64()), ids)
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 
     return in_arrow(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),

@@ -152,3 +152,35 @@ def test_fast_ids_equal_the_tokenizers_file():
             wanted = words._full.encode(part, add_special_tokens=False).ids
             assert words.encode(part) == wanted, part
             assert np.frombuffer(words[part], "<u2").tolist() == wanted, part
+
+
+def test_unseen_words_are_encoded_together(monkeypatch):
+    words = mixture._Words(mixture.tokenizer_file(), "<u2")
+    fast, calls = words._fast, []
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return fast.encode_ordinary(text)
+
+    monkeypatch.setattr(words, "_fast", Counted())
+    words.text(" ".join(f"word{k}" for k in range(5000)))
+    assert len(calls) == 1
+    words.text(" ".join(f"word{k}" for k in range(5000)))
+    assert len(calls) == 1
+
+
+def test_ids_of_texts_equal_the_tokenizers_file(monkeypatch):
+    import pyarrow as pa
+    words = mixture._Words(mixture.tokenizer_file(), "<u2")
+    monkeypatch.setattr(words, "SLICE", 7)  # texts over several slices, slices over several texts
+    monkeypatch.setattr(words, "CALL", 3)
+    monkeypatch.setattr(words, "LIMIT", 3000)
+    texts = ["", " ", "\n", "a  b\n\nc ", "it's “quoted” — 12,5 <|endoftext|> <|startoftext|>x a<| |b", "日本語 é ÀÉ'RE ΑΣ tab\tand\x00zero",
+             "x" * 300, *(" ".join(f"w{j * k % 97} Don't," for j in range(40)) for k in range(20)), ""]
+    wanted = [words._full.encode(x, add_special_tokens=False).ids for x in texts]
+    for _ in range(2):
+        found = words.texts(pa.array(texts), b"\1\0").to_pylist()
+        assert [np.frombuffer(x, "<u2").tolist() for x in found] == [[*ids, 1] for ids in wanted]
+        assert words._bytes <= 3000
+    assert words.texts(pa.array([], pa.string()), b"\1\0").to_pylist() == []
